@@ -61,6 +61,8 @@ def _wanted_ranks(n: int, request: list[tuple[str, float]]) -> set[int]:
             ranks.add(_discrete_rank(n, p))
         elif method == "linear":
             ranks.update(_linear_ranks(n, p)[:2])
+        elif method == "rank":
+            ranks.add(int(p))
         else:
             raise ValueError(f"unknown quantile method {method!r}")
     return ranks
@@ -89,15 +91,20 @@ def order_statistics(
 ) -> dict[str, OrderStats]:
     """Exact order statistics of every requested metric of a (metric, value) frame.
 
-    ``requests`` maps a metric to ``[(method, p), ...]`` with method ``disc`` or
-    ``linear``. NULLs are ignored. All metrics share each round's single job.
+    ``requests`` maps a metric to ``[(method, p), ...]`` with method ``disc``,
+    ``linear`` or ``rank`` (p is then a position from 0). NULLs are ignored. An
+    optional ``weight`` column (bigint) counts a row that many times (the moments are then not
+    given). All metrics share each round's single job.
     """
+    weighted = "weight" in long.columns
     present = long.where(F.col("value").isNotNull())
+    if not weighted:
+        present = present.withColumn("weight", F.lit(1))
     summary = {
         r["metric"]: r
         for r in present.groupBy("metric")
         .agg(
-            F.count("value").alias("n"),
+            F.sum("weight").alias("n"),
             F.avg("value").alias("mean"),
             F.stddev_pop("value").alias("std_pop"),
             F.min("value").alias("low"),
@@ -112,7 +119,7 @@ def order_statistics(
         if row is None:
             result[metric] = OrderStats(0, None, None, None, None)
             continue
-        stats = OrderStats(row["n"], row["mean"], row["std_pop"], row["low"], row["high"])
+        stats = OrderStats(row["n"], None if weighted else row["mean"], None if weighted else row["std_pop"], row["low"], row["high"])
         result[metric] = stats
         whole = _Interval(metric, row["low"], row["high"], row["n"], 0, _wanted_ranks(row["n"], request))
         open_intervals += _settle(stats, [whole])
@@ -158,7 +165,7 @@ def _refine(present: DataFrame, wide: list[_Interval], result: dict[str, OrderSt
     rows = (
         _labelled(present, wide)
         .groupBy("interval", bucket.alias("bucket"))
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .agg(F.sum("weight").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         .collect()
     )
     kept = []
@@ -176,7 +183,7 @@ def _finish(present: DataFrame, intervals: list[_Interval], result: dict[str, Or
     if not intervals:
         return
     rows = (
-        _labelled(present, intervals).groupBy("interval", "value").agg(F.count("*").alias("n")).collect()
+        _labelled(present, intervals).groupBy("interval", "value").agg(F.sum("weight").alias("n")).collect()
     )
     for index, interval in enumerate(intervals):
         before = interval.before
