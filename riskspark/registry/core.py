@@ -110,6 +110,16 @@ class Inputs:
     def offline(self, df: DataFrame | None = None) -> DataFrame:
         return features_offline(self.merged if df is None else df, self.offline_stats)
 
+    @property
+    def online_table(self) -> DataFrame:
+        """The materialised online view of all transactions."""
+        return self._once("online_table", lambda: cut_lineage(self.online(), "online"))
+
+    @property
+    def offline_table(self) -> DataFrame:
+        """Materialised offline features of all transactions, statistics from the train rows."""
+        return self._once("offline_table", lambda: cut_lineage(self.offline(), "offline"))
+
     @property
     def train_features(self) -> DataFrame:
         return self._once("train_features", lambda: cut_lineage(self.offline(self.train), "train-features"))

@@ -226,11 +226,11 @@ def _register_feature(number: int, name: str) -> None:
 
     @query(f"F{number}_{name}", sql)
     def _(i: Inputs):
-        offline = i.offline()
+        offline = i.offline_table
         if name == "amount_bin":  # the label text is checked against pandas in the tests
             edges = i.offline_stats.amount_bins
             offline = offline.withColumn(name, catalogue.amount_bin_index(F.col("amount_clipped"), edges))
-        on = i.online().select("docno", F.col(name).alias(f"{name}_online"))
+        on = i.online_table.select("docno", F.col(name).alias(f"{name}_online"))
         return on.join(offline.select("docno", F.col(name).alias(f"{name}_offline")), "docno")
 
 
@@ -333,7 +333,7 @@ def _(i):
     + ") t(name, kind)",
 )
 def _(i):
-    view = i.online()
+    view = i.online_table
     numeric, text = contract.column_kinds(view, ["cst_dim_id", "transdate"])
     kinds = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for k, ns in (("numeric", numeric), ("categorical", text)) for n in ns])
     return view.select(F.inline(kinds)).groupBy("name", "kind").agg(F.count("*").alias("n_rows"))
@@ -362,7 +362,7 @@ def _skew_sql(name: str) -> str:
 
 @query("P11_skew_report", WITH_BOTH.replace("onf AS (", "onf AS MATERIALIZED (").replace("offf AS (", "offf AS MATERIALIZED (") + " UNION ALL ".join(_skew_sql(n) for n in SKEW))
 def _(i):
-    return features.skew_report(i.online(), i.offline(), "docno", SKEW).drop("mean_abs_diff")
+    return features.skew_report(i.online_table, i.offline_table, "docno", SKEW).drop("mean_abs_diff")
 
 
 # --- windows and top-k ----------------------------------------------------------------------------

@@ -8,11 +8,12 @@ from pyspark.sql.types import StructType
 from riskspark.functions.cleaning import clean_id, clean_numeric, numeric_like
 
 NUMERIC_SHARE = 0.3
+_QUOTING = {"quote": '"', "escape": '"'}
 
 
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every column as text."""
-    return spark.read.option("header", True).option("inferSchema", False).option("quote", '"').option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("inferSchema", False).options(**_QUOTING).csv(path)
 
 
 def drop_subheader(df: DataFrame, is_subheader: Column | None = None) -> DataFrame:
@@ -65,7 +66,7 @@ def clean_raw(df: DataFrame, threshold: float = NUMERIC_SHARE) -> DataFrame:
 def convert_raw(spark: SparkSession, source: str, target: str, is_subheader: Column | None = None) -> None:
     """Raw export in, clean CSV out."""
     rows = drop_subheader(read_raw_csv(spark, source), is_subheader)
-    clean_raw(rows).write.option("header", True).csv(target)
+    clean_raw(rows).write.option("header", True).options(**_QUOTING).csv(target)
 
 
 def load_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

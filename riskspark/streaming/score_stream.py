@@ -64,10 +64,24 @@ def read_transactions(spark: SparkSession, path: str, schema: StructType = schem
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def deduplicated(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop repeated documents within the watermark delay; invalid rows pass through to the reject sink."""
-    timed = stream.withColumn("event_time", F.col("transdatetime").cast("timestamp"))
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["docno"]).drop("event_time")
+def deduplicated(stream: DataFrame, delay: str | None = "7 days") -> DataFrame:
+    """Drop repeated documents that arrive within ``delay`` of each other.
+
+    The watermark also ends the wait for late rows: choose a delay longer than
+    any lateness that must still be scored, or None to keep every row. Rows
+    without a document number are told apart by their content, and rows without
+    a time count as arriving now, so that both reach the reject sink.
+    """
+    if delay is None:
+        return stream
+    content = F.concat(F.lit("row:"), F.xxhash64(*stream.columns).cast("string"))
+    timed = stream.withColumns(
+        {
+            "event_time": F.coalesce(F.col("transdatetime").cast("timestamp"), F.current_timestamp()),
+            "document": F.coalesce(F.col("docno").cast("string"), content),
+        }
+    )
+    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["document"]).drop("event_time", "document")
 
 
 def score_transactions(batch: DataFrame, behaviour: DataFrame, bundle: Bundle) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +95,7 @@ def score_transactions(batch: DataFrame, behaviour: DataFrame, bundle: Bundle) -
     return routed, rejected
 
 
-def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: HotSwap, out: str, rejects: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: HotSwap, out: str, rejects: str, checkpoint: str, once: bool = True, delay: str | None = "7 days") -> StreamingQuery:
     """Start the scoring query.
 
     Each micro-batch overwrites its own ``batch_id=`` folder in both sinks, so a
@@ -97,7 +111,7 @@ def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: Ho
         finally:
             held.unpersist()
 
-    writer = deduplicated(stream).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    writer = deduplicated(stream, delay).writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
