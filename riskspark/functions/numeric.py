@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Text that a strict decimal parser accepts; keeps Java-only forms such as "1d" out.
@@ -26,44 +24,42 @@ def text_to_double(text: Column) -> Column:
     return F.when(trimmed.rlike(_DECIMAL_TEXT), trimmed.try_cast("double"))
 
 
-def to_double(df: DataFrame, name: str) -> Column:
+def column_types(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
+def to_double(df: DataFrame, name: str, types: dict | None = None) -> Column:
     """Column ``name`` as double; unparseable text becomes NULL."""
-    col = F.col(name)
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return text_to_double(col)
-    return col.cast("double")
+    kind = (types or column_types(df))[name]
+    return text_to_double(F.col(name)) if isinstance(kind, T.StringType) else F.col(name).cast("double")
 
 
-def coerce_to_zero(df: DataFrame, name: str) -> Column:
+def coerce_to_zero(df: DataFrame, name: str, types: dict | None = None) -> Column:
     """Column ``name`` as double with missing or unparseable values as 0."""
-    value = to_double(df, name)
-    return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(0.0))
+    return F.coalesce(F.nanvl(to_double(df, name, types), F.lit(None).cast("double")), F.lit(0.0))
 
 
-def to_timestamp_or_null(df: DataFrame, name: str) -> Column:
+def to_timestamp_or_null(df: DataFrame, name: str, types: dict | None = None) -> Column:
     """Column ``name`` as a timestamp; unparseable text becomes NULL."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return F.col(name).try_cast("timestamp_ntz")
-    return F.col(name)
+    kind = (types or column_types(df))[name]
+    return F.col(name).try_cast("timestamp_ntz") if isinstance(kind, T.StringType) else F.col(name)
 
 
 def fill_non_finite(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Replace infinities, NaN and NULL by zero in numeric columns (text: ``'0'``)."""
     chosen = set(columns or df.columns)
-    out = {}
+    out = []
     for field in df.schema.fields:
+        name, kind = f"`{field.name}`", field.dataType
         if field.name not in chosen:
-            continue
-        col = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            finite = ~F.isnan(col) & (F.abs(col) != F.lit(float("inf")))
-            out[field.name] = F.when(finite, col).otherwise(F.lit(0.0)).cast(field.dataType)
-        elif isinstance(field.dataType, T.NumericType):
-            out[field.name] = F.coalesce(col, F.lit(0).cast(field.dataType))
-        elif isinstance(field.dataType, T.StringType):
-            out[field.name] = F.coalesce(col, F.lit("0"))
-    return df.withColumns(out)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+            out.append(name)
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            # NaN sorts above infinity, so one comparison rules out all three.
+            out.append(f"if(abs({name}) < double('Infinity'), {name}, CAST(0 AS {kind.simpleString()})) AS {name}")
+        elif isinstance(kind, T.NumericType):
+            out.append(f"coalesce({name}, CAST(0 AS {kind.simpleString()})) AS {name}")
+        elif isinstance(kind, T.StringType):
+            out.append(f"coalesce({name}, '0') AS {name}")
+        else:
+            out.append(name)
+    return df.selectExpr(*out)

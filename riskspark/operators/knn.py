@@ -29,12 +29,16 @@ _CHUNK_VALUES = 4_000_000
 _PAIR_SCHEMA = "query_id long, base_id long, distance double, weight long"
 
 
-def as_points(df: DataFrame, key: str, vector, cats=None, weight=None) -> DataFrame:
+def as_points(df: DataFrame, key: str, vector, cats=None, weight=None, keep=()) -> DataFrame:
     """The columns the join takes; ``vector`` is an array column or a list of numeric columns."""
     vec = F.array(*[F.col(n).cast("double") for n in vector]) if isinstance(vector, list) else vector.cast("array<double>")
     codes = F.array(*[F.xxhash64(F.col(n).cast("string")) for n in cats]) if cats else F.array().cast("array<bigint>")
     return df.select(
-        F.col(key).cast("bigint").alias("id"), vec.alias("vec"), codes.alias("cats"), (weight if weight is not None else F.lit(1)).cast("bigint").alias("weight")
+        F.col(key).cast("bigint").alias("id"),
+        vec.alias("vec"),
+        codes.alias("cats"),
+        (weight if weight is not None else F.lit(1)).cast("bigint").alias("weight"),
+        *keep,
     )
 
 

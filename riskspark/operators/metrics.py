@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.operators.ranking import running_sums
+from riskspark.session import cut_lineage
 
 BETA = 2.0
 
@@ -80,37 +81,37 @@ def threshold_sweep(scores: DataFrame, grid: list[float], by: list[str], beta: f
     """Confusion counts and F-beta at every grid threshold, from one scan.
 
     Scores are counted per grid cell (at most len(grid) + 1 groups per model);
-    the sums over higher cells run on those few rows.
+    the sums over higher cells run on those few counts.
     """
-    counted = (
-        scores.withColumn("cell", threshold_index(F.col("y_proba"), grid))
+    return _sweep(scores.select(*by, "y_proba", *_labels()), grid, by, beta)
+
+
+def _labels() -> list[Column]:
+    positive = F.when(F.col("y_true") == 1, F.lit(1)).otherwise(F.lit(0))
+    return [positive.alias("pos"), (F.lit(1) - positive).alias("neg")]
+
+
+def _sweep(counts: DataFrame, grid: list[float], by: list[str], beta: float) -> DataFrame:
+    """The sweep of a frame with ``pos`` and ``neg`` per score."""
+    cells = (
+        counts.withColumn("cell", threshold_index(F.col("y_proba"), grid))
         .groupBy(*by, "cell")
-        .agg(F.sum(F.when(F.col("y_true") == 1, 1).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y_true") == 1, 0).otherwise(1)).alias("neg"))
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        .groupBy(*by)
+        .agg(F.collect_list(F.struct("cell", "pos", "neg")).alias("cells"))
     )
-    # Row i counts the scores whose cell is i + 1 or more, i.e. that reach grid[i].
-    cells = F.explode(F.sequence(F.lit(0), F.lit(len(grid))))
-    frame = counted.select(*by).distinct().select(*by, cells.alias("cell"))
-    above = Window.partitionBy(*by).orderBy(F.col("cell").desc())
-    whole = Window.partitionBy(*by)
-    filled = frame.join(counted, [*by, "cell"], "left").fillna(0, ["pos", "neg"])
-    swept = filled.select(
-        *by,
-        (F.col("cell") - 1).alias("thr_index"),
-        F.sum("pos").over(above).alias("tp"),
-        F.sum("neg").over(above).alias("fp"),
-        F.sum("pos").over(whole).alias("_p"),
-        F.sum("neg").over(whole).alias("_n"),
-    ).where("thr_index >= 0")
+    # A score in cell c reaches the first c thresholds.
+    rows = cells.select(*by, "cells", F.explode(F.sequence(F.lit(0), F.lit(len(grid) - 1))).alias("thr_index"))
+
+    def total(name: str, reached: bool) -> Column:
+        mine = F.filter("cells", lambda c: (c["cell"] > F.col("thr_index")) if reached else (c["cell"] <= F.col("thr_index")))
+        return F.aggregate(mine, F.lit(0).cast("bigint"), lambda acc, c: acc + c[name]).alias({("pos", True): "tp", ("neg", True): "fp", ("pos", False): "fn", ("neg", False): "tn"}[name, reached])
+
     values = F.array(*[F.lit(v) for v in grid])
-    return swept.select(
-        *by,
-        "thr_index",
-        F.get(values, F.col("thr_index")).alias("thr"),
-        (F.col("_n") - F.col("fp")).alias("tn"),
-        "fp",
-        (F.col("_p") - F.col("tp")).alias("fn"),
-        "tp",
-    ).withColumn("fbeta", fbeta(beta))
+    swept = rows.select(
+        *by, "thr_index", F.get(values, F.col("thr_index")).alias("thr"), total("neg", False), total("neg", True), total("pos", False), total("pos", True)
+    )
+    return swept.withColumn("fbeta", fbeta(beta))
 
 
 def best_threshold(sweep: DataFrame, by: list[str]) -> DataFrame:
@@ -121,24 +122,27 @@ def best_threshold(sweep: DataFrame, by: list[str]) -> DataFrame:
 
 
 def score_counts(scores: DataFrame, by: list[str]) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return scores.groupBy(*by, "y_proba").agg(
-        F.sum(F.when(F.col("y_true") == 1, 1).otherwise(0)).alias("pos"), F.sum(F.when(F.col("y_true") == 1, 0).otherwise(1)).alias("neg")
-    )
+    """Positives and negatives per distinct score, stored: everything after it reads this small table."""
+    counted = scores.select(*by, "y_proba", *_labels()).groupBy(*by, "y_proba").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return cut_lineage(counted, "score-counts")
 
 
-def cumulative_counts(scores: DataFrame, by: list[str]) -> DataFrame:
+def cumulative_counts(counts: DataFrame, by: list[str]) -> DataFrame:
     """Per distinct score: positives and negatives at or above it."""
-    return running_sums(score_counts(scores, by), by, "y_proba", ["pos", "neg"])
+    return running_sums(counts, by, "y_proba", ["pos", "neg"])
 
 
 def roc_auc(scores: DataFrame, by: list[str]) -> DataFrame:
     """Share of (positive, negative) pairs in the right order, ties counting half."""
+    return _auc(score_counts(scores, by), by)
+
+
+def _auc(counts: DataFrame, by: list[str]) -> DataFrame:
     # Pairs won at a score: its positives against the negatives below, and half of those level.
     won = F.col("pos") * (F.col("total_neg") - F.col("cum_neg") + F.col("neg") / F.lit(2.0))
     pairs = F.col("total_pos").cast("double") * F.col("total_neg")
     return (
-        cumulative_counts(scores, by)
+        cumulative_counts(counts, by)
         .groupBy(*by, "total_pos", "total_neg")
         .agg(F.sum(won).alias("won"))
         .select(*by, (F.col("won") / F.nullif(pairs, F.lit(0.0))).alias("roc_auc"))
@@ -147,7 +151,7 @@ def roc_auc(scores: DataFrame, by: list[str]) -> DataFrame:
 
 def roc_curve(scores: DataFrame, by: list[str]) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score."""
-    return cumulative_counts(scores, by).select(
+    return cumulative_counts(score_counts(scores, by), by).select(
         *by,
         F.col("y_proba").alias("thr"),
         _share(F.col("cum_neg"), F.col("total_neg")).alias("fpr"),
@@ -157,7 +161,7 @@ def roc_curve(scores: DataFrame, by: list[str]) -> DataFrame:
 
 def pr_curve(scores: DataFrame, by: list[str]) -> DataFrame:
     """(threshold, precision, recall) at every distinct score."""
-    return cumulative_counts(scores, by).select(
+    return cumulative_counts(score_counts(scores, by), by).select(
         *by,
         F.col("y_proba").alias("thr"),
         _share(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
@@ -199,11 +203,12 @@ def normalised_confusion(counts: DataFrame, by: list[str]) -> DataFrame:
 
 
 def evaluate(scores: DataFrame, by: list[str] = ["model", "scenario"], grid: list[float] = GRID_EVALUATE, beta: float = BETA) -> DataFrame:
-    """The evaluation record of every group: best threshold, its metrics, and ROC-AUC."""
-    best = best_threshold(threshold_sweep(scores, grid, by, beta), by)
+    """The evaluation record of every group: best threshold, its metrics, and ROC-AUC, from one scan of the scores."""
+    counts = score_counts(scores, by)
+    best = best_threshold(_sweep(counts, grid, by, beta), by)
     rates = {k: v for k, v in derived_metrics().items() if k != "f1"}
     return (
         best.withColumns(rates)
-        .join(roc_auc(scores, by), by)
+        .join(_auc(counts, by), by)
         .select(*by, "best_thr", F.col("fbeta").alias("Fbeta"), F.lit(beta).alias("beta"), "roc_auc", "precision", "recall", "fpr", "accuracy", "tn", "fp", "fn", "tp")
     )

@@ -38,7 +38,7 @@ def smotenc(df: DataFrame, key: str, label: str, numeric: list[str], categorical
     k = min(k, m - 1)
     cost = category_cost(rare, numeric) if categorical and numeric else 0.0
 
-    labelled = as_points(rare, key, numeric, categorical).join(rare.select(F.col(key).cast("bigint").alias("id"), *categorical), "id")
+    labelled = as_points(rare, key, numeric, categorical, keep=categorical)
     distinct = cut_lineage(
         labelled.groupBy("vec", "cats").agg(F.min("id").alias("id"), F.sum("weight").alias("weight"), *[F.min(c).alias(c) for c in categorical]),
         "smote-points",

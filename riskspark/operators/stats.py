@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from riskspark import schemas
 from riskspark.functions.numeric import coerce_to_zero
 from riskspark.operators.quantiles import long_metric, order_statistics
+from riskspark.session import cut_lineage
 
 RARE_THRESHOLD = 30
 RARE_SOURCES = {"last_phone_model_categorical": "rare_phone_models", "last_os_categorical": "rare_oses"}
@@ -138,7 +139,11 @@ def amount_bin_edges(cuts: list[float], low: float, high: float) -> list[float]:
 
 
 def fit_offline(df: DataFrame, rare_threshold: int = RARE_THRESHOLD) -> FeatureStats:
-    """Everything learnt from the training rows, in one pass per quantile round plus one."""
+    """Everything learnt from the training rows, in one pass per quantile round plus one.
+
+    The customer and rare-value tables are stored in the shared folder, so that
+    using them does not scan the training rows again.
+    """
     scalars = dict(DEFAULT_SCALARS)
     bins = [0.0, 1.0]
     has = set(df.columns)
@@ -151,9 +156,8 @@ def fit_offline(df: DataFrame, rare_threshold: int = RARE_THRESHOLD) -> FeatureS
         requests["burst"] = [("linear", 0.90)]
     customers = None
     if "cst_dim_id" in has and "amount" in has:
-        customers = customer_agg_offline(df)
-        counts = df.where(F.col("cst_dim_id").isNotNull()).groupBy("cst_dim_id").agg(F.count("*").alias("n"))
-        parts.append(long_metric(counts, "cust_txn", F.col("n")))
+        customers = cut_lineage(customer_agg_offline(df), "customers")
+        parts.append(long_metric(customers, "cust_txn", F.col("cust_txn_count")))
         requests["cust_txn"] = [("linear", 0.75), ("linear", 0.90)]
     if parts:
         long = parts[0]
@@ -179,7 +183,7 @@ def fit_offline(df: DataFrame, rare_threshold: int = RARE_THRESHOLD) -> FeatureS
         if "cust_txn" in found and found["cust_txn"].n:
             scalars["cust_txn_q75"] = found["cust_txn"].linear(0.75)
             scalars["cust_txn_q90"] = found["cust_txn"].linear(0.90)
-    rare = {c: rare_values(df, c, rare_threshold) for c in RARE_SOURCES if c in has}
+    rare = {c: cut_lineage(rare_values(df, c, rare_threshold), "rare") for c in RARE_SOURCES if c in has}
     return FeatureStats(scalars, bins, customers, rare)
 
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskspark import schemas
-from riskspark.functions.numeric import coerce_to_zero, fill_non_finite, to_timestamp_or_null
+from riskspark.functions.numeric import coerce_to_zero, column_types, fill_non_finite, to_timestamp_or_null
 from riskspark.operators.asof import HOT_ROWS, asof_join
 from riskspark.operators.stats import MISSING, FeatureStats, fit_offline, fit_online
 from riskspark.plans.catalogue import OFFLINE, ONLINE, Profile, derived_layers
 
 CUSTOMER_COLUMNS = ["cust_amount_mean", "cust_amount_std", "cust_amount_max", "cust_txn_count"]
 OTHER_LABEL = "OTHER"
-RARE_BROADCAST_ROWS = 100_000
 
 
 def _derive(df: DataFrame, profile: Profile, stats: FeatureStats) -> DataFrame:
@@ -34,18 +33,24 @@ def attach_globals(df: DataFrame, stats: DataFrame, columns: list[str]) -> DataF
     return df.withColumn("_g", packed).select("*", *[F.col("_g")[n].alias(n) for n in columns]).drop("_g")
 
 
-def enrich_online(txns: DataFrame, behaviour: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Transactions with the behaviour snapshot in force; missing counters and measures are 0."""
+def merge_behaviour(txns: DataFrame, behaviour: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Transactions with the behaviour snapshot in force at their time (NULL without one)."""
     snapshots = behaviour.withColumnRenamed("transdate", "snapshot_ts")
-    base = txns.withColumn("amount", F.col("amount").cast("double"))
-    joined = asof_join(
-        base, snapshots, "cst_dim_id", "transdatetime", "snapshot_ts", schemas.BEHAVIOUR_COLUMNS, hot_rows=hot_rows
+    return asof_join(
+        txns, snapshots, "cst_dim_id", "transdatetime", "snapshot_ts", schemas.BEHAVIOUR_COLUMNS, hot_rows=hot_rows
     )
+
+
+def online_from_merged(merged: DataFrame, stats: FeatureStats, keep: list[str] | None = None) -> DataFrame:
+    """Online features of transactions that already carry their behaviour snapshot."""
     filled = {n: F.coalesce(n, F.lit(0.0)) for n in schemas.BEHAVIOUR_MEASURES}
     for n in schemas.BEHAVIOUR_COUNTS:
         kind = "double" if n.startswith("logins_") else "int"
         filled[n] = F.coalesce(n, F.lit(0)).cast(kind)
-    return joined.withColumns(filled)
+    filled["amount"] = F.col("amount").cast("double")
+    based = attach_customers(merged.withColumns(filled), stats.customers)
+    columns = ["cst_dim_id", "transdate", *schemas.FEATURE_COLUMNS]
+    return _derive(based, ONLINE, stats).select(*columns, *[k for k in keep or [] if k not in columns])
 
 
 def features_online(
@@ -61,17 +66,17 @@ def features_online(
     they are fitted on the whole tables, as the view does.
     """
     stats = stats or fit_online(txns, behaviour)
-    based = attach_customers(enrich_online(txns, behaviour, hot_rows), stats.customers)
-    columns = ["cst_dim_id", "transdate", *schemas.FEATURE_COLUMNS]
-    return _derive(based, ONLINE, stats).select(*columns, *[k for k in keep or [] if k not in columns])
+    return online_from_merged(merge_behaviour(txns, behaviour, hot_rows), stats, keep)
 
 
 def group_rare(df: DataFrame, column: str, rare: DataFrame) -> DataFrame:
-    """Replace values of the rare table by 'OTHER'; missing values read 'nan'."""
+    """Replace values of the rare table by 'OTHER'; missing values read 'nan'.
+
+    The fitted table is stored, so its size is known: Spark broadcasts it below
+    its threshold and otherwise joins by value, splitting frequent values.
+    """
     text = F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
     keys = rare.select(F.col("value").alias("_value"), F.lit(True).alias("_rare"))
-    if rare.limit(RARE_BROADCAST_ROWS + 1).count() <= RARE_BROADCAST_ROWS:
-        keys = F.broadcast(keys)
     marked = df.withColumn("_value", text).join(keys, "_value", "left")
     return marked.withColumn(column, F.when(F.col("_rare"), F.lit(OTHER_LABEL)).otherwise(F.col("_value"))).drop(
         "_value", "_rare"
@@ -80,14 +85,14 @@ def group_rare(df: DataFrame, column: str, rare: DataFrame) -> DataFrame:
 
 def coerce_inputs(df: DataFrame) -> DataFrame:
     """Training-profile typing: a timestamp, a numeric amount and numeric behaviour columns; absent ones are added."""
-    has = set(df.columns)
+    has = column_types(df)
     out: dict[str, Column] = {}
     if "transdatetime" in has:
-        out["transdatetime"] = to_timestamp_or_null(df, "transdatetime")
+        out["transdatetime"] = to_timestamp_or_null(df, "transdatetime", has)
     else:
         out["transdatetime"] = F.lit(None).cast("timestamp_ntz")
     for name in ["amount", *schemas.BEHAVIOUR_NUMERIC]:
-        out[name] = coerce_to_zero(df, name) if name in has else F.lit(0.0)
+        out[name] = coerce_to_zero(df, name, has) if name in has else F.lit(0.0)
     return df.withColumns(out)
 
 
@@ -125,30 +130,35 @@ def fit_and_build_offline(train: DataFrame, *others: DataFrame) -> tuple[Feature
     return stats, [features_offline(frame, stats) for frame in (train, *others)]
 
 
-def skew_report(online: DataFrame, offline: DataFrame, key: str, features: list[str], tolerance: float = 1e-9) -> DataFrame:
+def paired_features(merged: DataFrame, online: FeatureStats, offline: FeatureStats) -> DataFrame:
+    """Offline features of every row, and its online features in the struct ``online``.
+
+    Both profiles are computed on the row itself, so no join on a document key is needed.
+    """
+    raw = merged.withColumn("_raw", F.struct(*merged.columns))
+    packed = online_from_merged(raw, online, keep=["_raw"])
+    both = packed.select(F.struct(*schemas.FEATURE_COLUMNS).alias("online"), "_raw.*")
+    return features_offline(both, offline)
+
+
+def skew_report(paired: DataFrame, features: list[str], tolerance: float = 1e-9) -> DataFrame:
     """Per feature: compared rows, rows that differ, their share, and the mean absolute difference.
 
-    One shuffle join on the key and one aggregate row, unpivoted.
+    ``paired`` is the frame of ``paired_features``. Map-side aggregation leaves
+    one row per feature and task to shuffle.
     """
-    on_types = {f.name: f.dataType for f in online.schema.fields}
-    left = online.select(F.col(key), *[F.col(n).alias(f"on_{n}") for n in features])
-    right = offline.select(F.col(key), *[F.col(n).alias(f"off_{n}") for n in features])
-    measures = []
+    types = column_types(paired)
+    cells = []
     for n in features:
-        a, b = F.col(f"on_{n}"), F.col(f"off_{n}")
-        if isinstance(on_types[n], T.StringType):
-            differs, gap = ~a.eqNullSafe(b), F.lit(None).cast("double")
+        if isinstance(types[n], T.StringType):
+            gap, differs = "CAST(NULL AS DOUBLE)", f"NOT (online.`{n}` <=> `{n}`)"
         else:
-            gap = F.abs(a.cast("double") - b.cast("double"))
-            scale = F.greatest(F.lit(1.0), F.abs(a.cast("double")))
-            differs = F.coalesce(gap > F.lit(tolerance) * scale, ~(a.isNull() & b.isNull()))
-        measures.append(
-            F.struct(
-                F.lit(n).alias("feature"),
-                F.count("*").alias("n_rows"),
-                F.sum(differs.cast("int")).alias("n_different"),
-                F.avg(gap).alias("mean_abs_diff"),
-            )
-        )
-    report = left.join(right, key).agg(F.array(*measures).alias("m")).select(F.inline("m"))
-    return report.withColumn("share_different", F.col("n_different") / F.nullif(F.col("n_rows").cast("double"), F.lit(0.0)))
+            gap = f"abs(CAST(online.`{n}` AS DOUBLE) - CAST(`{n}` AS DOUBLE))"
+            scale = f"greatest(1D, abs(CAST(online.`{n}` AS DOUBLE)))"
+            differs = f"coalesce({gap} > {tolerance}D * {scale}, NOT (online.`{n}` IS NULL AND `{n}` IS NULL))"
+        cells.append(f"struct('{n}' AS feature, {gap} AS gap, CAST({differs} AS INT) AS differs)")
+    return (
+        paired.select(F.expr(f"inline(array({', '.join(cells)}))"))
+        .groupBy("feature")
+        .agg(F.count("*").alias("n_rows"), F.sum("differs").alias("n_different"), F.avg("gap").alias("mean_abs_diff"), F.avg("differs").alias("share_different"))
+    )

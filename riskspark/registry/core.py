@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskspark.operators.sampling import mark_test_rows
 from riskspark.operators.stats import FeatureStats, fit_offline, fit_online
-from riskspark.plans.features import features_offline, features_online
+from riskspark.plans.features import features_offline, features_online, paired_features
 from riskspark.session import cut_lineage
 from riskspark.sources import fixtures
 
@@ -110,15 +110,19 @@ class Inputs:
     def offline(self, df: DataFrame | None = None) -> DataFrame:
         return features_offline(self.merged if df is None else df, self.offline_stats)
 
+    @property
+    def paired_table(self) -> DataFrame:
+        """Both profiles of every transaction; offline statistics from the train rows."""
+        make = lambda: cut_lineage(paired_features(self.merged, self.online_stats, self.offline_stats), "paired")
+        return self._once("paired_table", make)
+
     @property
     def online_table(self) -> DataFrame:
-        """The materialised online view of all transactions."""
-        return self._once("online_table", lambda: cut_lineage(self.online(), "online"))
+        return self.paired_table.select("cst_dim_id", "transdate", "online.*")
 
     @property
     def offline_table(self) -> DataFrame:
-        """Materialised offline features of all transactions, statistics from the train rows."""
-        return self._once("offline_table", lambda: cut_lineage(self.offline(), "offline"))
+        return self.paired_table.drop("online")
 
     @property
     def train_features(self) -> DataFrame:

@@ -226,12 +226,10 @@ def _register_feature(number: int, name: str) -> None:
 
     @query(f"F{number}_{name}", sql)
     def _(i: Inputs):
-        offline = i.offline_table
+        offline = F.col(name)
         if name == "amount_bin":  # the label text is checked against pandas in the tests
-            edges = i.offline_stats.amount_bins
-            offline = offline.withColumn(name, catalogue.amount_bin_index(F.col("amount_clipped"), edges))
-        on = i.online_table.select("docno", F.col(name).alias(f"{name}_online"))
-        return on.join(offline.select("docno", F.col(name).alias(f"{name}_offline")), "docno")
+            offline = catalogue.amount_bin_index(F.col("amount_clipped"), i.offline_stats.amount_bins)
+        return i.paired_table.select("docno", F.col(f"online.{name}").alias(f"{name}_online"), offline.alias(f"{name}_offline"))
 
 
 for _n, _name in enumerate(DERIVED, 1):
@@ -362,7 +360,8 @@ def _skew_sql(name: str) -> str:
 
 @query("P11_skew_report", WITH_BOTH.replace("onf AS (", "onf AS MATERIALIZED (").replace("offf AS (", "offf AS MATERIALIZED (") + " UNION ALL ".join(_skew_sql(n) for n in SKEW))
 def _(i):
-    return features.skew_report(i.online_table, i.offline_table, "docno", SKEW).drop("mean_abs_diff")
+    paired = features.paired_features(i.merged, i.online_stats, i.offline_stats)
+    return features.skew_report(paired, SKEW).drop("mean_abs_diff")
 
 
 # --- windows and top-k ----------------------------------------------------------------------------
