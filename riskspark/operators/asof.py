@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 HOT_ROWS = 2_000_000
 MAX_RANGES = 1024
+LANES = 1024
 BROADCAST_ROWS = 100_000
 
 
@@ -32,34 +33,35 @@ def asof_join(
     ``hot_rows=None`` skips the look for hot keys.
     """
     order_type = left.schema[left_ts].dataType
-    marked = left.withColumn("_complete", F.col(by).isNotNull() & F.col(left_ts).isNotNull())
-    complete = marked.where("_complete").drop("_complete")
-    incomplete = marked.where(~F.col("_complete")).drop("_complete")
-
-    left_cols = left.columns
-    left_rows = complete.select(
+    # A left row without key or time matches nothing: it gets a lane of its own, away from right rows.
+    complete = F.col(by).isNotNull() & F.col(left_ts).isNotNull()
+    lane = F.when(complete, F.lit(0)).otherwise(_spread(F.struct(*left.columns)))
+    left_rows = left.select(
         F.col(by).alias("_key"),
         F.col(left_ts).alias("_ts"),
         F.lit(1).alias("_side"),
-        F.struct(*left_cols).alias("_left"),
+        lane.alias("_lane"),
+        F.struct(*left.columns).alias("_left"),
     )
-    tie_cols = tie_break or payload
     right_rows = right.where(F.col(by).isNotNull() & F.col(right_ts).isNotNull()).select(
         F.col(by).alias("_key"),
         F.col(right_ts).cast(order_type).alias("_ts"),
         F.lit(0).alias("_side"),
-        F.struct(*[F.col(c) for c in payload]).alias("_right"),
-        F.struct(*[F.col(c) for c in tie_cols]).alias("_tie"),
+        F.lit(0).alias("_lane"),
+        F.struct(*payload).alias("_right"),
+        F.struct(*(tie_break or payload)).alias("_tie"),
     )
     hot = _hot_ranges(left_rows, right_rows, hot_rows) if hot_rows else None
     if hot is None:
-        matched = _latest_in_group(left_rows, right_rows, ["_key"])
+        matched = _latest_in_group(left_rows, right_rows, ["_key", "_lane"])
     else:
         matched = _with_hot_keys(left_rows, right_rows, hot)
-    joined = matched.select("_left.*", *[F.col("_right")[c].alias(c) for c in payload])
-    types = {f.name: f.dataType for f in right.schema.fields}
-    unmatched = incomplete.select(*left_cols, *[F.lit(None).cast(types[c]).alias(c) for c in payload])
-    return joined.unionByName(unmatched)
+    return matched.select("_left.*", *[F.col("_right")[c].alias(c) for c in payload])
+
+
+def _spread(row: Column) -> Column:
+    """A lane number above 0, by row content."""
+    return F.pmod(F.xxhash64(row), F.lit(LANES)).cast("int") + 1
 
 
 def _latest_in_group(left_rows: DataFrame, right_rows: DataFrame, group: list[str]) -> DataFrame:
@@ -79,7 +81,8 @@ def _hot_ranges(left_rows: DataFrame, right_rows: DataFrame, hot_rows: int) -> l
     At most (total rows / hot_rows) keys qualify, and the starts of all of them
     together are at most twice that many numbers.
     """
-    keys = left_rows.select("_key").unionByName(right_rows.select("_key"))
+    timed = left_rows.where("_lane = 0")
+    keys = timed.select("_key").unionByName(right_rows.select("_key"))
     hot = keys.groupBy("_key").agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).collect()
     if not hot:
         return None
@@ -88,7 +91,7 @@ def _hot_ranges(left_rows: DataFrame, right_rows: DataFrame, hot_rows: int) -> l
         [(r["_key"], max(1, MAX_RANGES * hot_rows // (2 * r["_n"]))) for r in hot],
         T.StructType([key_field, T.StructField("_step", T.LongType())]),
     )
-    times = left_rows.select("_key", "_ts").unionByName(right_rows.select("_key", "_ts"))
+    times = timed.select("_key", "_ts").unionByName(right_rows.select("_key", "_ts"))
     grid = F.array(*[F.lit(i / MAX_RANGES) for i in range(1, MAX_RANGES)])
     starts = (
         times.join(F.broadcast(wanted), "_key")
@@ -109,8 +112,8 @@ def _with_hot_keys(left_rows: DataFrame, right_rows: DataFrame, hot: list) -> Da
     """Window per (key, range); ranges that find nothing take the carried row.
 
     A cut that many rows share (a burst at one instant) makes two ranges: the
-    instant itself and what follows. Left rows at such an instant all have the same answer
-    and are spread by a salt, since only the carried row matters to them.
+    instant itself and what follows. Left rows at such an instant all have the
+    same answer, the carried row, and are spread over lanes.
     """
     spark = left_rows.sparkSession
     key_field = T.StructField("_key", left_rows.schema["_key"].dataType)
@@ -145,13 +148,9 @@ def _with_hot_keys(left_rows: DataFrame, right_rows: DataFrame, hot: list) -> Da
     )
     if len(spot_rows) <= BROADCAST_ROWS:
         carried = F.broadcast(carried)
-    salt = F.when(F.col("_range") % 2 == 1, F.pmod(F.xxhash64("_left"), F.lit(MAX_RANGES))).otherwise(F.lit(0))
+    burst = F.when(F.col("_range") % 2 == 1, _spread(F.col("_left"))).otherwise(F.col("_lane"))
     needed = right_placed.where((F.col("_range") < 0) | (F.col("_range") % 2 == 0))
-    found = _latest_in_group(
-        left_placed.withColumn("_salt", salt),
-        needed.withColumn("_salt", F.lit(0).cast("long")),
-        ["_key", "_range", "_salt"],
-    )
+    found = _latest_in_group(left_placed.withColumn("_lane", burst), needed, ["_key", "_range", "_lane"])
     return (
         found.join(carried, ["_key", "_range"], "left")
         .withColumn("_right", F.coalesce("_right", "_carried"))

@@ -52,10 +52,11 @@ def lookup_features(requests: DataFrame, features: DataFrame, order: list[str])
     Feature columns that the request also has are taken from the features.
     """
     keys = ["cst_dim_id", "transdate"]
-    single = first_per_customer_date(features, order)
+    dated = requests.withColumn("transdate", F.col("transdate").try_cast("date"))
+    # Only the requested keys are aggregated; on a view partitioned by date this also prunes files.
+    single = first_per_customer_date(features.join(dated.select(*keys), keys, "left_semi"), order)
     payload = [n for n in single.columns if n not in keys]
     packed = single.select(*keys, F.struct(*payload).alias("_found"))
-    dated = requests.withColumn("transdate", F.col("transdate").try_cast("date"))
     kept = [n for n in requests.columns if n not in payload]
     return (
         dated.join(packed, keys, "left")

@@ -125,8 +125,8 @@ def _(i):
 
 @query("E10_write_feature_view", WITH_ONLINE + f"SELECT CAST(transdate AS VARCHAR) AS transdate, docno, {shown('amount_log')}, {shown('is_night')} FROM onf")
 def _(i):
-    tables.write_feature_view(i.online(), scratch_path(i.spark, "feature-view"), "v_txn_ml_features")
-    return i.spark.table("v_txn_ml_features").select(F.col("transdate").cast("string"), "docno", "amount_log", "is_night")
+    tables.write_feature_view(i.online(), scratch_path(i.spark, "feature-view"), "transaction_features")
+    return i.spark.table("transaction_features").select(F.col("transdate").cast("string"), "docno", "amount_log", "is_night")
 
 
 _SNAP = "SELECT c_mktsegment AS model_name, avg(c_acctbal) AS amount_mean, max(c_acctbal) AS amount_q99 FROM customer WHERE {w} GROUP BY 1"

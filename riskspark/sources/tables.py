@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
-def write_feature_view(features: DataFrame, path: str, view: str | None = None, files_per_date: int = 16) -> DataFrame:
+def write_feature_view(features: DataFrame, path: str, view: str | None = None) -> DataFrame:
     """Materialise features partitioned by ``transdate``; optionally register a view on the files.
 
-    Rows are clustered by date and a hash of the document, so that a date with a
-    large share of the rows is written by several tasks.
+    Rows are brought together by date before writing, so that a date has few
+    files; AQE cuts a date with many rows into several tasks of even size.
     """
     spark = features.sparkSession
-    spread = F.pmod(F.xxhash64("docno"), F.lit(files_per_date))
-    features.repartition("transdate", spread).write.partitionBy("transdate").parquet(path)
+    features.hint("rebalance", "transdate").write.partitionBy("transdate").parquet(path)
     stored = spark.read.parquet(path)
     if view:
         stored.createOrReplaceTempView(view)

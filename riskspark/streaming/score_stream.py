@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,6 +17,7 @@ from riskspark.operators.stats import FeatureStats
 from riskspark.plans.features import features_online
 from riskspark.plans.scoring import ModelVariant, score_batch
 
+BROADCAST_CUSTOMERS = 1_000_000
 # The label is not known when a payment arrives.
 REQUIRED = ["cst_dim_id", "transdate", "transdatetime", "amount", "docno", "direction"]
 
@@ -85,9 +86,17 @@ def deduplicated(stream: DataFrame, delay: str | None = "7 days") -> DataFrame:
 
 
 def score_transactions(batch: DataFrame, behaviour: DataFrame, bundle: Bundle) -> tuple[DataFrame, DataFrame]:
-    """(decisions, rejects) of one batch: validate, enrich, build features, score, route."""
+    """(decisions, rejects) of one batch: validate, enrich, build features, score, route.
+
+    The big tables are first cut to the customers of the batch, so that a small
+    batch never shuffles them.
+    """
     valid, rejected = validate_requests(batch, REQUIRED)
-    features = features_online(valid, behaviour, bundle.stats)
+    customers = valid.select("cst_dim_id").distinct()
+    if customers.count() <= BROADCAST_CUSTOMERS:
+        customers = F.broadcast(customers)
+    stats = replace(bundle.stats, customers=bundle.stats.customers.join(customers, "cst_dim_id", "left_semi"))
+    features = features_online(valid, behaviour.join(customers, "cst_dim_id", "left_semi"), stats)
     scored = score_batch(features, bundle.variants)
     routed = scored.withColumn(
         "decision", F.when(F.col("role") == "decision", route_decision(F.col("score"), "threshold", bundle.low, bundle.high))
