@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from riskspark.functions.search import cuts_below, double_array
+
 HOT_ROWS = 2_000_000
-MAX_RANGES = 1024
+MAX_RANGES = 4096
 LANES = 1024
 BROADCAST_ROWS = 100_000
 
@@ -49,7 +51,7 @@ def asof_join(
         F.lit(0).alias("_side"),
         F.lit(0).alias("_lane"),
         F.struct(*payload).alias("_right"),
-        F.struct(*(tie_break or payload)).alias("_tie"),
+        *([F.struct(*tie_break).alias("_tie")] if tie_break else []),
     )
     hot = _hot_ranges(left_rows, right_rows, hot_rows) if hot_rows else None
     if hot is None:
@@ -67,7 +69,8 @@ def _spread(row: Column) -> Column:
 def _latest_in_group(left_rows: DataFrame, right_rows: DataFrame, group: list[str]) -> DataFrame:
     """Left rows with the last right row at or before them inside their group."""
     both = left_rows.unionByName(right_rows, allowMissingColumns=True)
-    running = Window.partitionBy(*group).orderBy("_ts", "_side", "_tie")
+    running = Window.partitionBy(*group).orderBy("_ts", "_side", _tie(right_rows))
+    running = running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         both.withColumn("_right", F.last("_right", ignorenulls=True).over(running))
         .where(F.col("_side") == 1)
@@ -75,6 +78,11 @@ def _latest_in_group(left_rows: DataFrame, right_rows: DataFrame, group: list[st
     )
 
 
+def _tie(right_rows: DataFrame) -> str:
+    """The column that orders right rows of one time; the payload itself unless told otherwise."""
+    return "_tie" if "_tie" in right_rows.columns else "_right"
+
+
 def _hot_ranges(left_rows: DataFrame, right_rows: DataFrame, hot_rows: int) -> list | None:
     """(key, range starts) of every hot key, or None when no key is hot.
 
@@ -92,11 +100,11 @@ def _hot_ranges(left_rows: DataFrame, right_rows: DataFrame, hot_rows: int) -> l
         T.StructType([key_field, T.StructField("_step", T.LongType())]),
     )
     times = timed.select("_key", "_ts").unionByName(right_rows.select("_key", "_ts"))
-    grid = F.array(*[F.lit(i / MAX_RANGES) for i in range(1, MAX_RANGES)])
+    grid = double_array([i / MAX_RANGES for i in range(1, MAX_RANGES)])
     starts = (
         times.join(F.broadcast(wanted), "_key")
         .groupBy("_key", "_step")
-        .agg(F.percentile_approx(_micros(F.col("_ts")), grid, F.lit(10_000)).alias("_grid"))
+        .agg(F.percentile_approx(_micros(F.col("_ts")), grid, F.lit(10 * MAX_RANGES)).alias("_grid"))
         # A key of n rows gets about 2n / hot_rows ranges.
         .withColumn("_grid", F.filter("_grid", lambda c, i: (i + 1) % F.col("_step") == 0))
         .select("_key", F.array_sort(F.array_distinct("_grid")).alias("_cuts"))
@@ -125,9 +133,10 @@ def _with_hot_keys(left_rows: DataFrame, right_rows: DataFrame, hot: list) -> Da
     def place(rows: DataFrame) -> DataFrame:
         # Even numbers are the open ranges between cuts, odd numbers the cut instants.
         micros = _micros(F.col("_ts"))
-        below = F.size(F.filter("_cuts", lambda c: c < micros))
-        on_cut = F.array_contains("_cuts", micros).cast("int")
-        spot = F.coalesce(F.lit(2) * below + on_cut, F.lit(-1))
+        below = cuts_below(F.col("_cuts"), micros, MAX_RANGES)
+        on_cut = F.coalesce(F.get("_cuts", below) == micros, F.lit(False)).cast("int")
+        known = F.col("_cuts").isNotNull() & F.col("_ts").isNotNull()
+        spot = F.when(known, F.lit(2) * below + on_cut).otherwise(F.lit(-1))
         return rows.join(lookup, "_key", "left").withColumn("_range", spot).drop("_cuts")
 
     left_placed, right_placed = place(left_rows), place(right_rows)
@@ -135,7 +144,7 @@ def _with_hot_keys(left_rows: DataFrame, right_rows: DataFrame, hot: list) -> Da
     last_right = (
         right_placed.where(is_hot)
         .groupBy("_key", "_range")
-        .agg(F.max_by("_right", F.struct("_ts", "_tie")).alias("_right"))
+        .agg(F.max_by("_right", F.struct("_ts", _tie(right_rows))).alias("_right"))
     )
     spots = spark.createDataFrame(spot_rows, T.StructType([key_field, T.StructField("_range", T.IntegerType())]))
     by_range = Window.partitionBy("_key").orderBy("_range")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskspark.functions.search import double_array
 from riskspark.operators.ranking import running_sums
 from riskspark.session import cut_lineage
 
@@ -70,7 +71,7 @@ def threshold_index(score: Column, grid: list[float]) -> Column:
     """
     n = len(grid)
     step = (grid[-1] - grid[0]) / (n - 1)
-    values = F.array(*[F.lit(v) for v in grid])
+    values = double_array(grid)
     guess = F.greatest(F.least(F.floor((score - F.lit(grid[0])) / F.lit(step)).cast("int"), F.lit(n)), F.lit(0))
     reached = lambda offset: (F.coalesce(F.get(values, guess + offset), F.lit(float("inf"))) <= score).cast("int")
     below = F.greatest(guess - 1, F.lit(0))
@@ -107,7 +108,7 @@ def _sweep(counts: DataFrame, grid: list[float], by: list[str], beta: float) ->
         mine = F.filter("cells", lambda c: (c["cell"] > F.col("thr_index")) if reached else (c["cell"] <= F.col("thr_index")))
         return F.aggregate(mine, F.lit(0).cast("bigint"), lambda acc, c: acc + c[name]).alias({("pos", True): "tp", ("neg", True): "fp", ("pos", False): "fn", ("neg", False): "tn"}[name, reached])
 
-    values = F.array(*[F.lit(v) for v in grid])
+    values = double_array(grid)
     swept = rows.select(
         *by, "thr_index", F.get(values, F.col("thr_index")).alias("thr"), total("neg", False), total("neg", True), total("pos", False), total("pos", True)
     )

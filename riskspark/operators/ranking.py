@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskspark.functions.hashing import hash_rank
+from riskspark.functions.search import cuts_below, double_array
 
 RANGES = 256
 
@@ -18,10 +19,9 @@ def running_sums(df: DataFrame, group: list[str], order: str, sums: list[str], r
     """
     if splits is None:
         points = [i / ranges for i in range(1, ranges)]
-        found = df.agg(F.percentile_approx(order, F.array(*[F.lit(p) for p in points]), F.lit(10_000)).alias("s")).first()["s"]
+        found = df.agg(F.percentile_approx(order, double_array(points), F.lit(10_000)).alias("s")).first()["s"]
         splits = sorted(set(found or []))
-    bounds = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-    ranged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col(order))))
+    ranged = df.withColumn("_range", cuts_below(double_array(splits), F.col(order), len(splits), inclusive=True))
     totals = ranged.groupBy(*group, "_range").agg(*[F.sum(n).alias(f"_t_{n}") for n in sums])
     higher = Window.partitionBy(*group).orderBy(F.col("_range").desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)

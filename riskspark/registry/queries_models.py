@@ -341,7 +341,7 @@ def _(i):
     return _knn(i, broadcast_values=0, pivots=12, block_rows=64)
 
 
-LOF_K = 20
+LOF_K = anomaly.LOF_NEIGHBOURS
 _LOF = f"""cand AS (SELECT a.vec_id AS q, b.vec_id AS b, list_distance(a.v, b.v) AS d FROM vc a CROSS JOIN vc b),
 fit AS (SELECT q, b, d FROM cand WHERE q <> b QUALIFY row_number() OVER (PARTITION BY q ORDER BY d, b) <= {LOF_K}),
 rad AS (SELECT q AS b, max(d) AS r FROM fit GROUP BY q),
@@ -379,11 +379,11 @@ def _(i):
     return flagged.select("docno", "is_test", "iforest_score", "lof_score")
 
 
-_SMOTE_DIMS = 8
+_SMOTE_DIMS = 64
 _SD = [f"e{d}" for d in range(_SMOTE_DIMS)]
 _HASH = "CAST(('0x' || substr(md5({t}), 1, 13)) AS BIGINT)"
 _SMOTE = f"""sv AS (SELECT vec_id, CASE WHEN label = 0 THEN 1 ELSE 0 END AS target, CAST(label % 3 AS VARCHAR) || '/' || (vec_id % 4) AS kind,
-  CAST(embedding[1:{_SMOTE_DIMS}] AS DOUBLE[]) AS v FROM embeddings),
+  CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 mi AS (SELECT * FROM sv WHERE target = 1),
 cs AS (SELECT median(s) AS c FROM (SELECT stddev_pop(v[d]) AS s FROM mi CROSS JOIN range(1, {_SMOTE_DIMS + 1}) r(d) GROUP BY d)),
 sz AS (SELECT count(*) FILTER (WHERE target = 0) - count(*) FILTER (WHERE target = 1) AS missing, count(*) FILTER (WHERE target = 1) AS m FROM sv),
