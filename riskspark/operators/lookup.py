@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskspark import schemas
+from riskspark.session import cut_lineage
 
 REQUIRED = [f.name for f in schemas.REQUEST.fields]
 
@@ -54,7 +55,9 @@ def lookup_features(requests: DataFrame, features: DataFrame, order: list[str])
     keys = ["cst_dim_id", "transdate"]
     dated = requests.withColumn("transdate", F.col("transdate").try_cast("date"))
     # Only the requested keys are aggregated; on a view partitioned by date this also prunes files.
-    single = first_per_customer_date(features.join(dated.select(*keys), keys, "left_semi"), order)
+    wanted = features.join(dated.select(*keys), keys, "left_semi")
+    # Stored, so that the join below can be split where many requests share a key.
+    single = cut_lineage(first_per_customer_date(wanted, order), "lookup")
     payload = [n for n in single.columns if n not in keys]
     packed = single.select(*keys, F.struct(*payload).alias("_found"))
     kept = [n for n in requests.columns if n not in payload]

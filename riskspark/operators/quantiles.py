@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKETS = 2048
-FINISH_ROWS = 20_000
+FINISH_ROWS = 2048
 
 
 @dataclass
@@ -135,12 +135,17 @@ def order_statistics(
 
 
 def _settle(stats: OrderStats, intervals: list[_Interval]) -> list[_Interval]:
-    """Record intervals that hold a single value; return the others."""
+    """Record the ranks that an interval's least and greatest value answer; return what is left."""
     rest = []
     for interval in intervals:
-        if interval.low == interval.high:
-            stats.values.update({rank: interval.low for rank in interval.ranks})
-        elif interval.ranks:
+        last = interval.before + interval.count - 1
+        for rank in interval.ranks:
+            if rank == interval.before or interval.low == interval.high:
+                stats.values[rank] = interval.low
+            elif rank == last:
+                stats.values[rank] = interval.high
+        interval.ranks = {r for r in interval.ranks if r not in stats.values}
+        if interval.ranks:
             rest.append(interval)
     return rest
 

@@ -46,7 +46,7 @@ def mark_lowest(df: DataFrame, metric: Column, wanted: dict, key: str, seed: int
     """
     wanted = {k: n for k, n in wanted.items() if n > 0}
     content = hash_rank(F.to_json(F.struct(*df.columns)), seed)
-    hashed = df.withColumn("_h", hash_rank(F.col(key), seed)).withColumn("_t", content).withColumn("_m", metric)
+    hashed = df.withColumn("_h", hash_rank(F.col(key), seed)).withColumn("_m", metric)
     m = F.col("_m")
     first = order_statistics(
         hashed.select(m.alias("metric"), F.col("_h").cast("double").alias("value")),
@@ -60,13 +60,15 @@ def mark_lowest(df: DataFrame, metric: Column, wanted: dict, key: str, seed: int
     }
     left = {k: n - tally[k]["below"] for k, n in wanted.items()}
     split = {k: n for k, n in left.items() if n < tally[k]["level"]}
-    ties = {k: 16**13 for k in cuts}
+    taken = F.lit(True)
     if split:
-        tied = hashed.where(at_cut).select(m.alias("metric"), F.col("_t").cast("double").alias("value"))
+        tied = hashed.where(at_cut).select(m.alias("metric"), content.cast("double").alias("value"))
         found = order_statistics(tied, {k: [("rank", n - 1)] for k, n in split.items()})
-        ties.update({k: int(found[k].values[n - 1]) for k, n in split.items()})
-    chosen = below | (at_cut & _per_class(m, ties, lambda cut: F.col("_t") <= cut))
-    return hashed.withColumn(output, chosen).drop("_h", "_t", "_m")
+        ties = {k: int(found[k].values[n - 1]) for k, n in split.items()}
+        # Only rows at a cut that has to be split are hashed by content.
+        taken = ~m.isin(list(split)) | _per_class(m, ties, lambda cut: content <= cut)
+    chosen = F.when(below, F.lit(True)).when(at_cut, taken).otherwise(F.lit(False))
+    return hashed.withColumn(output, chosen).drop("_h", "_m")
 
 
 def _per_class(metric: Column, cuts: dict, test) -> Column:

@@ -79,12 +79,22 @@ def customer_agg_online(txns: DataFrame) -> DataFrame:
     )
 
 
+def stored_customers(customers: DataFrame) -> DataFrame:
+    """The per-customer table, written once.
+
+    Spark then knows its size, and a join with it reads a plain shuffle, which
+    AQE can split at a hot customer (it cannot above an aggregate).
+    """
+    return cut_lineage(customers, "customers")
+
+
 def customer_counts(txns: DataFrame) -> DataFrame:
     """Transactions per customer; rows without a customer form one group, as in SQL."""
     return txns.groupBy("cst_dim_id").agg(F.count("*").cast("double").alias("n"))
 
 
 def fit_online(txns: DataFrame, behaviour: DataFrame) -> FeatureStats:
+    customers = stored_customers(customer_agg_online(txns))
     long = (
         long_metric(txns, "amount", F.col("amount"))
         .unionByName(long_metric(behaviour, "burst", F.abs("burstiness_login_interval")))
@@ -108,7 +118,7 @@ def fit_online(txns: DataFrame, behaviour: DataFrame) -> FeatureStats:
         "cust_txn_q75": counts.discrete(0.75),
         "cust_txn_q90": counts.discrete(0.90),
     }
-    return FeatureStats(scalars, customers=customer_agg_online(txns))
+    return FeatureStats(scalars, customers=customers)
 
 
 # --- offline profile: train rows only, interpolated percentiles, sample deviation ----------
@@ -156,7 +166,7 @@ def fit_offline(df: DataFrame, rare_threshold: int = RARE_THRESHOLD) -> FeatureS
         requests["burst"] = [("linear", 0.90)]
     customers = None
     if "cst_dim_id" in has and "amount" in has:
-        customers = cut_lineage(customer_agg_offline(df), "customers")
+        customers = stored_customers(customer_agg_offline(df))
         parts.append(long_metric(customers, "cust_txn", F.col("cust_txn_count")))
         requests["cust_txn"] = [("linear", 0.75), ("linear", 0.90)]
     if parts:

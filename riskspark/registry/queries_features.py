@@ -64,7 +64,7 @@ CUST_SQL = ", ".join(f"{sig(n)} AS {n}" for n in CUST)
 
 @query("J3_customer_join", with_(TX, BEH, ONLINE_STATS) + f"SELECT docno, {CUST_SQL} FROM tx LEFT JOIN on_cust USING (cst_dim_id)")
 def _(i):
-    return features.attach_customers(i.tx, stats.customer_agg_online(i.tx)).select("docno", *CUST)
+    return features.attach_customers(i.tx, stats.stored_customers(stats.customer_agg_online(i.tx))).select("docno", *CUST)
 
 
 STAT_NAMES = ["amount_q99", "amount_high_thresh", "amount_mean", "amount_std", "burst_q90", "cust_txn_q75", "cust_txn_q90"]
@@ -100,7 +100,7 @@ def _(i):
     + " FROM tx t JOIN sp USING (docno) LEFT JOIN off_cust c ON t.cst_dim_id = c.cst_dim_id WHERE is_test = 1",
 )
 def _(i):
-    joined = features.attach_customers(i.test, stats.customer_agg_offline(i.train))
+    joined = features.attach_customers(i.test, stats.stored_customers(stats.customer_agg_offline(i.train)))
     return joined.select("docno", *[F.coalesce(n, F.lit(0.0)).alias(n) for n in CUST])
 
 
@@ -360,8 +360,7 @@ def _skew_sql(name: str) -> str:
 
 @query("P11_skew_report", WITH_BOTH.replace("onf AS (", "onf AS MATERIALIZED (").replace("offf AS (", "offf AS MATERIALIZED (") + " UNION ALL ".join(_skew_sql(n) for n in SKEW))
 def _(i):
-    paired = features.paired_features(i.merged, i.online_stats, i.offline_stats)
-    return features.skew_report(paired, SKEW).drop("mean_abs_diff")
+    return features.skew_report(i.paired_table, SKEW).drop("mean_abs_diff")
 
 
 # --- windows and top-k ----------------------------------------------------------------------------

@@ -189,3 +189,31 @@ def test_stats_round_trip(spark, sf_dir, tmp_path):
 def test_globals_are_one_subquery(spark):
     stats = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     assert [tuple(r) for r in attach_globals(spark.range(2), stats, ["a", "b"]).collect()] == [(0, 1.0, 2.0), (1, 1.0, 2.0)]
+
+
+def test_customer_join_can_be_split_at_a_hot_customer(spark):
+    """Both join inputs are plain shuffles, so AQE splits the hot customer's partition."""
+    from riskspark.operators.stats import customer_agg_online, stored_customers
+    from riskspark.plans.features import attach_customers
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        tx = spark.range(60_000).repartition(8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("cst_dim_id"), F.rand(1).alias("amount"), F.sha2(F.col("id").cast("string"), 256).alias("docno")
+        )
+        joined = attach_customers(tx, stored_customers(customer_agg_online(tx)))
+        rows = joined.agg(F.count("docno"), F.sum((F.col("cst_dim_id") == 1).cast("int")), F.max("docno"), F.max("cust_amount_mean"))
+        assert tuple(rows.collect()[0])[:2] == (60_000, 20_001)
+        assert "skew=true" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
