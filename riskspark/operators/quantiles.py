@@ -10,6 +10,7 @@ just one large count.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -92,12 +93,15 @@ def order_statistics(
     """Exact order statistics of every requested metric of a (metric, value) frame.
 
     ``requests`` maps a metric to ``[(method, p), ...]`` with method ``disc``,
-    ``linear`` or ``rank`` (p is then a position from 0). NULLs are ignored. An
+    ``linear`` or ``rank`` (p is then a position from 0). NULL and NaN are
+    ignored, infinities count as the largest double. An
     optional ``weight`` column (bigint) counts a row that many times (the moments are then not
     given). All metrics share each round's single job.
     """
     weighted = "weight" in long.columns
-    present = long.where(F.col("value").isNotNull())
+    limit = F.lit(sys.float_info.max)
+    finite = F.greatest(F.least(F.col("value"), limit), -limit)
+    present = long.where(F.col("value").isNotNull() & ~F.isnan("value")).withColumn("value", finite)
     if not weighted:
         present = present.withColumn("weight", F.lit(1))
     summary = {
@@ -125,10 +129,11 @@ def order_statistics(
         open_intervals += _settle(stats, [whole])
 
     while True:
-        wide = [i for i in open_intervals if i.count > finish_rows]
+        # Neighbouring doubles cannot be cut further; few values lie between them.
+        wide = [i for i in open_intervals if i.count > finish_rows and i.high / 2 > i.low / 2]
         if not wide:
             break
-        narrow = [i for i in open_intervals if i.count <= finish_rows]
+        narrow = [i for i in open_intervals if i not in wide]
         open_intervals = narrow + _refine(present, wide, result, buckets)
     _finish(present, open_intervals, result)
     return result

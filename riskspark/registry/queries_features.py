@@ -12,7 +12,7 @@ from riskspark.operators.quantiles import exact_quantiles, long_metric, order_st
 from riskspark.plans import catalogue, contract, features
 from riskspark.registry.core import Inputs, query
 from riskspark.registry.features_sql import (
-    INT_FEATURES, OFFLINE_STATS, ONLINE_STATS, SPLIT, TEXT_FEATURES, WITH_BOTH, WITH_OFFLINE, WITH_ONLINE, shown,
+    OFFLINE_STATS, ONLINE_STATS, SPLIT, TEXT_FEATURES, WITH_BOTH, WITH_OFFLINE, WITH_ONLINE, shown,
 )
 from riskspark.registry.sqlparts import BEH, MERGED, TX, sig, with_
 

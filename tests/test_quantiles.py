@@ -54,3 +54,11 @@ def test_weights_and_absent_metric(spark):
 def test_clipped_quantile(spark):
     found = fit(spark, [1, 2, 3, 4, 100])
     assert found.linear(1.0, (0.0, 4.0)) == 4.0
+
+
+def test_extreme_values_end(spark):
+    tiny = 5e-324
+    found = fit(spark, [0.0, tiny] * 20 + [float("nan")], finish_rows=3, buckets=4)
+    assert found.n == 40 and found.discrete(0.2) == 0.0 and found.discrete(0.75) == tiny
+    found = fit(spark, [float("-inf"), 1.0, 2.0, 3.0, float("inf")], finish_rows=1, buckets=4)
+    assert found.discrete(0.2) < -1e308 and found.discrete(0.75) == 3.0 and found.discrete(1.0) > 1e308
