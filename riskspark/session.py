@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,20 +29,26 @@ def get_session(app_name: str = "riskspark", master: str | None = None, shuffle_
     )
 
 
+#: Scratch folders of local-mode applications without a configured one; removed when the process ends.
+_LOCAL_SCRATCH: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A local-mode session without that setting (tests, a laptop) gets a fresh
-    temporary folder; a cluster session without it is an error.
+    Only a local-mode session (tests, a laptop), where all executors are this process, may do without that
+    setting: it gets a folder of its own for as long as the process runs. On a cluster its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    fresh = tempfile.mkdtemp(prefix="riskspark-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="riskspark-")
+        atexit.register(shutil.rmtree, _LOCAL_SCRATCH[app], ignore_errors=True)
+    return _LOCAL_SCRATCH[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
