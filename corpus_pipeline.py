@@ -20,10 +20,18 @@ from riskspark.session import cut_lineage
 LEAST_SCORE = 0.5
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the table does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the ids in ``ids``; rows without an id are kept if ``ids`` has a NULL."""
-    marked = ids.select(F.col("id").alias("_kept_id")).distinct()
-    return docs.join(marked, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    name = _fresh(docs, "_kept_id")
+    marked = ids.select(F.col("id").alias(name)).distinct()
+    return docs.join(marked, F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +42,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays; of repeated rows, one."""
-    kept = _keep(docs, exact_dedup(docs).where("kept")).withColumn("_same", F.sha2("text", 256))
-    return kept.dropDuplicates(["doc_id", "_same"]).drop("_same")
+    same = _fresh(docs, "_same")
+    kept = _keep(docs, exact_dedup(docs).where("kept")).withColumn(same, F.sha2("text", 256))
+    return kept.dropDuplicates(["doc_id", same]).drop(same)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
