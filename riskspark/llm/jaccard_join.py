@@ -116,15 +116,25 @@ def _sizes(ids, sets):
     return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64)})
 
 
-def _low_tokens(ids, sets):
-    """(token, id) for tokens of low hash; a token of several texts of the batch comes once, without id."""
-    tokens, owners = _flat(ids, [low_part(s) for s in sets])
+def _tokens(ids, sets):
+    """(token, id); a token of several texts of the batch comes once, without id."""
+    tokens, owners = _flat(ids, sets)
     values, first, times = np.unique(tokens, return_index=True, return_counts=True)
     owner = owners.take(pa.array(first[times == 1], pa.int64()))
     alone, shared = values[times == 1], values[times > 1]
     return _batch({"token": np.concatenate([alone, shared]), "id": pa.concat_arrays([owner, pa.nulls(len(shared), owners.type)])})
 
 
+def _low_tokens(ids, sets):
+    return _tokens(ids, [low_part(s) for s in sets])
+
+
+def _unique(tokens: DataFrame) -> DataFrame:
+    """(id, unique): how many tokens only the one text has."""
+    alone = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1 and id is not null")
+    return alone.groupBy("id").agg(F.count("*").alias("unique"))
+
+
 def _set_hashes(ids, sets, texts):
     h1 = np.array([np.bitwise_xor.reduce(mix(s + _C)) for s in sets], np.uint64)
     h2 = np.array([mix(s + _A).sum(dtype=np.uint64) for s in sets], np.uint64)
@@ -156,6 +166,19 @@ class _Join:
     def __init__(self, n: int, percent: int, texts: DataFrame):
         self.n, self.percent, self.texts, self.limit = n, percent, texts, Threshold(percent)
         self.kind = texts.schema["id"].dataType.simpleString()
+        self.facts = cut_lineage(self._facts(), "facts")
+
+    def _facts(self) -> DataFrame:
+        """(id, n, differing, unique, light) of sets that can have a partner at all.
+
+        Unique tokens of both sets of a pair are in only one of them, so their number is at most ``differing``. Where both
+        sets have more than half of that, the pair is none: only a light set with another needs a look. Changed copies
+        of one text that are not similar enough to each other are heavy, however many there are.
+        """
+        unique = _unique(self.texts.select("id", "text").mapInArrow(_per_text(self.n, _tokens), f"token long, id {self.kind}"))
+        sizes = self.texts.select("id", "n", F.expr(f"n * {100 - self.percent} div {self.percent}").alias("differing"))
+        facts = sizes.join(unique, "id", "left").withColumn("unique", F.coalesce("unique", F.lit(0)))
+        return facts.where(F.expr(f"unique <= n * {100 - self.percent} div 100")).withColumn("light", F.col("unique") * 2 <= F.col("differing"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar enough, by their whole sets."""
@@ -188,7 +211,8 @@ class _Join:
             sigs, owners = _flat(ids, [np.unique(signatures(s, held.value, limit)) for s in sets])
             return _batch({"sig": sigs, "id": owners})
 
-        every = cut_lineage(self.texts.select("id", "text").mapInArrow(_per_text(self.n, make), f"sig long, id {self.kind}"), "signatures")
+        every = self.texts.select("id", "text").mapInArrow(_per_text(self.n, make), f"sig long, id {self.kind}")
+        every = cut_lineage(every.join(self.facts.select("id"), "id", "left_semi"), "signatures")
         shared = cut_lineage(every.groupBy("sig").count().where("count > 1"), "shared-signatures")
         return cut_lineage(every.join(shared, "sig"), "postings")
 
@@ -200,30 +224,32 @@ class _Join:
         copies of any size takes a number of comparisons in proportion to it.
         """
         postings = self.postings()
-        weights = cut_lineage(postings.groupBy("id").agg(F.sum("count").alias("weight")), "weights")
-        rank = F.struct(F.col("weight"), F.col("id"))
+        weights = cut_lineage(postings.groupBy("id").agg(F.sum("count").alias("weight")).join(self.facts, "id"), "weights")
+        rank = F.struct(F.col("weight"), F.col("id"), F.col("unique"), F.col("differing"))
         found = None
         for _ in range(2):
-            open_postings = postings.select("sig", "id") if found is None else self._open(postings, found)
-            weighed = open_postings.join(weights, "id")
-            leaders = cut_lineage(weighed.groupBy("sig").agg(F.max(rank).alias("lead")).select("sig", F.col("lead.id").alias("lead")), "leaders")
-            pairs = open_postings.join(leaders, "sig").where("id <> lead").groupBy("id", "lead").count()
-            best = pairs.groupBy("id").agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
+            still = postings.select("sig", "id") if found is None else self._open(postings, found).select("sig", "id")
+            weighed = cut_lineage(still.join(weights, "id"), "weighed")
+            leaders = cut_lineage(weighed.where("light").groupBy("sig").agg(F.max(rank).alias("lead")), "leaders")
+            room = F.least("differing", "lead.differing") >= F.col("unique") + F.col("lead.unique")
+            pairs = weighed.join(leaders, "sig").where(room & (F.col("id") != F.col("lead.id"))).select("id", F.col("lead.id").alias("lead"))
+            best = pairs.groupBy("id", "lead").count().groupBy("id").agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
             more = self.verify(best.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
             found = more if found is None else found.unionByName(more)
         left = cut_lineage(self._open(postings, found), "open-postings")
-        a = left.select("sig", F.col("id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-        b = left.select("sig", F.col("id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
-        fits = (F.col("na") * 100 >= F.col("nb") * self.percent) & (F.col("nb") * 100 >= F.col("na") * self.percent)
-        rest = a.join(b, "sig").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & fits).select("a", "b").distinct()
-        return found.unionByName(self.verify(rest))
+        side = lambda s: [F.col("sig")] + [F.col(c).alias(c + s) for c in ("id", "label", "n", "unique", "differing", "light")]
+        one, two = left.where("light").select(side("_a")), left.select(side("_b"))
+        fits = (F.col("n_a") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n_a") * self.percent)
+        room = F.least("differing_a", "differing_b") >= F.col("unique_a") + F.col("unique_b")
+        once = (F.col("id_a") < F.col("id_b")) | ~F.col("light_b")
+        rest = one.join(two, "sig").where(fits & room & once & (F.col("label_a") != F.col("label_b")))
+        return found.unionByName(self.verify(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()))
 
     def _open(self, postings: DataFrame, links: DataFrame) -> DataFrame:
         """Postings of signatures that sets of several components share, with size and component."""
-        labels = connected_components(links)
-        sizes = self.texts.select("id", "n")
-        labelled = postings.select("sig", "id").join(sizes, "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-        labelled = cut_lineage(labelled.select("sig", "id", "n", F.coalesce("label", "id").alias("label")), "labelled")
+        labels = connected_components(links).withColumnRenamed("node", "id")
+        labelled = postings.select("sig", "id").join(self.facts, "id").join(labels, "id", "left")
+        labelled = cut_lineage(labelled.withColumn("label", F.coalesce("label", "id")), "labelled")
         several = cut_lineage(labelled.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig"), "several")
         return labelled.join(several, "sig", "left_semi")
 
@@ -249,8 +275,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     sizes = cut_lineage(rows.mapInArrow(_per_text(n, _sizes), f"id {kind}, n long"), "sizes")
     named = rows.where("id is not null and text is not null")
 
-    tokens = named.mapInArrow(_per_text(n, _low_tokens), f"token long, id {kind}")
-    unique = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min("id").alias("id")).where("c = 1 and id is not null").groupBy("id").agg(F.count("*").alias("unique"))
+    unique = _unique(named.mapInArrow(_per_text(n, _low_tokens), f"token long, id {kind}"))
     missing = F.expr(f"n * {100 - percent} div 100")
     candidates = sizes.where("id is not null and n > 0").join(unique, "id", "left").where(F.coalesce("unique", F.lit(0)) <= missing)
     candidates = cut_lineage(candidates.select("id").distinct(), "candidates")
