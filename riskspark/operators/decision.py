@@ -15,9 +15,16 @@ def ensemble_score(first: Column, second: Column, weights: tuple[float, float] =
 def ensemble_scores(scores: DataFrame, first: str, second: str, key: str, weights: tuple[float, float] = ENSEMBLE_WEIGHTS) -> DataFrame:
     """Blend two models of a long (key, model, y_true, y_proba) frame.
 
-    One pass that pivots by conditional aggregation; no self-join.
+    One pass that pivots by conditional aggregation; no self-join. ``key`` has to tell rows apart: where a model has
+    several scores of one key, they cannot be paired, and the query fails rather than lose a row. Scores
+    that stand side by side on a row are blended by ``ensemble_score``, which needs no key.
     """
-    of = lambda m: F.max(F.when(F.col("model") == m, F.col("y_proba")))
+
+    def of(m):
+        mine = F.when(F.col("model") == m, F.col("y_proba"))
+        several = F.raise_error(F.concat(F.lit(f"model {m} has several scores of one {key}: "), F.col(key).cast("string")))
+        return F.when(F.count(F.when(F.col("model") == m, F.lit(1))) > 1, several.cast("double")).otherwise(F.max(mine))
+
     return (
         scores.where(F.col("model").isin(first, second))
         .groupBy(key)

@@ -160,6 +160,18 @@ def roc_curve(scores: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
+def both_curves(scores: DataFrame, by: list[str]) -> DataFrame:
+    """(threshold, fpr, tpr, precision, recall) at every distinct score, from one running count."""
+    return cumulative_counts(score_counts(scores, by), by).select(
+        *by,
+        F.col("y_proba").alias("thr"),
+        _share(F.col("cum_neg"), F.col("total_neg")).alias("fpr"),
+        _share(F.col("cum_pos"), F.col("total_pos")).alias("tpr"),
+        _share(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"),
+        _share(F.col("cum_pos"), F.col("total_pos")).alias("recall"),
+    )
+
+
 def pr_curve(scores: DataFrame, by: list[str]) -> DataFrame:
     """(threshold, precision, recall) at every distinct score."""
     return cumulative_counts(score_counts(scores, by), by).select(

@@ -13,7 +13,7 @@ import math
 import sys
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BUCKETS = 2048
 FINISH_ROWS = 2048
@@ -155,23 +155,18 @@ def _settle(stats: OrderStats, intervals: list[_Interval]) -> list[_Interval]:
     return rest
 
 
-def _inside(interval: _Interval) -> Column:
-    return (F.col("metric") == interval.metric) & F.col("value").between(interval.low, interval.high)
-
-
 def _labelled(present: DataFrame, intervals: list[_Interval]) -> DataFrame:
-    label = F.lit(None).cast("int")
-    for index, interval in enumerate(intervals):
-        label = F.when(_inside(interval), F.lit(index)).otherwise(label)
-    return present.withColumn("interval", label).where(F.col("interval").isNotNull())
+    """Rows in one of the (disjoint) intervals with its number and bounds, by a join with the table of open intervals."""
+    kinds = {"metric": present.schema["metric"].dataType, "interval": T.IntegerType(), "low": T.DoubleType(), "high": T.DoubleType()}
+    schema = T.StructType([T.StructField(n, kind) for n, kind in kinds.items()])
+    table = present.sparkSession.createDataFrame([(i.metric, n, float(i.low), float(i.high)) for n, i in enumerate(intervals)], schema)
+    return present.join(F.broadcast(table), "metric").where(F.col("value").between(F.col("low"), F.col("high")))
 
 
 def _refine(present: DataFrame, wide: list[_Interval], result: dict[str, OrderStats], buckets: int) -> list[_Interval]:
-    bucket = F.lit(None).cast("long")
-    for index, interval in enumerate(wide):
-        # Halves keep the width finite for any pair of doubles.
-        share = (F.col("value") / 2 - F.lit(interval.low / 2)) / F.lit(interval.high / 2 - interval.low / 2)
-        bucket = F.when(F.col("interval") == index, F.floor(share * buckets)).otherwise(bucket)
+    # Halves keep the width finite for any pair of doubles.
+    share = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    bucket = F.floor(share * buckets)
     rows = (
         _labelled(present, wide)
         .groupBy("interval", bucket.alias("bucket"))

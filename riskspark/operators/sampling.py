@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskspark.functions.hashing import hash_rank
 from riskspark.functions.numeric import coerce_to_zero
 from riskspark.operators.quantiles import long_metric, order_statistics
+from riskspark.session import cut_lineage
 
 # The weighting rules.
 FRAUD_BOOST = 3.0
@@ -18,6 +19,10 @@ FEW_LOGINS = 2
 MANY_LOGINS = 20
 
 
+#: The class of rows without a label.
+NO_LABEL = "\x00"
+
+
 def test_shares(counts: dict, test_size: float) -> dict:
     """Test rows per class: ceil(share of all rows), dealt out by largest remainder."""
     total = sum(counts.values())
@@ -32,7 +37,7 @@ def test_shares(counts: dict, test_size: float) -> dict:
 
 def mark_test_rows(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test``: in each class the rows with the smallest key hash, to the exact class share."""
-    metric = F.col(label).cast("string")
+    metric = F.coalesce(F.col(label).cast("string"), F.lit(NO_LABEL))
     counts = {r["metric"]: r["n"] for r in df.groupBy(metric.alias("metric")).agg(F.count("*").alias("n")).collect()}
     return mark_lowest(df, metric, test_shares(counts, test_size), key, seed, "is_test")
 
@@ -41,12 +46,12 @@ def mark_lowest(df: DataFrame, metric: Column, wanted: dict, key: str, seed: int
     """Flag, per value of ``metric``, the ``wanted[value]`` rows with the smallest key hash.
 
     The cut is a hash value found by distributed rank selection, so no class is
-    sorted. Rows that tie at the cut are cut again by a hash of their content;
-    exact copies of a row stay on one side.
+    sorted. A row without key goes by its content. Rows that tie at the cut are cut again by a hash of their
+    content; of exact copies of a row any may be taken, so they are stored once and cut by their place.
     """
     wanted = {k: n for k, n in wanted.items() if n > 0}
     content = hash_rank(F.to_json(F.struct(*df.columns)), seed)
-    hashed = df.withColumn("_h", hash_rank(F.col(key), seed)).withColumn("_m", metric)
+    hashed = df.withColumn("_h", F.coalesce(hash_rank(F.col(key), seed), content)).withColumn("_m", metric)
     m = F.col("_m")
     first = order_statistics(
         hashed.select(m.alias("metric"), F.col("_h").cast("double").alias("value")),
@@ -67,8 +72,19 @@ def mark_lowest(df: DataFrame, metric: Column, wanted: dict, key: str, seed: int
         ties = {k: int(found[k].values[n - 1]) for k, n in split.items()}
         # Only rows at a cut that has to be split are hashed by content.
         taken = ~m.isin(list(split)) | _per_class(m, ties, lambda cut: content <= cut)
+        level = _per_class(m, ties, lambda cut: content == cut)
+        under = _per_class(m, ties, lambda cut: content < cut)
+        sums = [F.sum((at_cut & c).cast("int")) for c in (under, level)]
+        counts = {r["_m"]: (r["under"], r["level"]) for r in hashed.where(m.isin(list(split))).groupBy("_m").agg(sums[0].alias("under"), sums[1].alias("level")).collect()}
+        copies = {k: n - counts[k][0] for k, n in split.items() if n - counts[k][0] < counts[k][1]}
+        if copies:
+            hashed = cut_lineage(hashed.withColumn("_row", F.monotonically_increasing_id()), "copies")
+            equal = hashed.where(at_cut & level & m.isin(list(copies))).select(m.alias("metric"), F.col("_row").cast("double").alias("value"))
+            places = order_statistics(equal, {k: [("rank", n - 1)] for k, n in copies.items()})
+            last = {k: int(places[k].values[n - 1]) for k, n in copies.items()}
+            taken = taken & (~level | ~m.isin(list(copies)) | _per_class(m, last, lambda cut: F.col("_row") <= cut))
     chosen = F.when(below, F.lit(True)).when(at_cut, taken).otherwise(F.lit(False))
-    return hashed.withColumn(output, chosen).drop("_h", "_m")
+    return hashed.withColumn(output, chosen).drop("_h", "_m", "_row")
 
 
 def _per_class(metric: Column, cuts: dict, test) -> Column:

@@ -19,7 +19,8 @@ NUMERIC = {"maxIter": 600, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0
 WEIGHTED = {**BALANCED, "maxIter": 1800}
 SEED = 42
 CATEGORY_BUCKETS = 1 << 20
-EXPLAIN_ROWS = 1000
+#: Rows that exchange values with each other when a column is shuffled.
+DONOR_ROWS = 20_000
 
 
 def build_stages(numeric: list[str], categorical: list[str], label: str, params: dict, weight: str, validation: str | None) -> Pipeline:
@@ -84,20 +85,25 @@ def feature_importance(model: PipelineModel, spark) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], label: str = "target", key: str = "docno", rows: int = EXPLAIN_ROWS, seed: int = SEED) -> DataFrame:
-    """AUC lost when one column is shuffled, over a sample of at most ``rows`` rows.
+def permutation_importance(model: PipelineModel, df: DataFrame, features: list[str], label: str = "target", key: str = "docno", rows: int | None = None, seed: int = SEED) -> DataFrame:
+    """AUC lost when one column is shuffled, over all rows, or over a sample of ``rows`` where that is asked for.
 
-    All shuffled copies of the sample are scored in a single pass.
+    Rows take the values of the next one in the order of a hash, in a circle, within groups of about DONOR_ROWS that the hash
+    makes; so a shuffle is one exchange, whatever the number of rows. All shuffled copies are scored in a single pass.
     """
-    sample = sample_rows(df.select(key, label, *[f for f in features if f not in (key, label)]), key, rows, seed).persist()
-    straight = Window.orderBy(F.col(key))  # the sample is bounded
-    shuffled = Window.orderBy(hash_rank(F.col(key), f"{seed}|shuffle"), F.col(key))
-    numbered = sample.withColumn("_at", F.row_number().over(straight)).withColumn("_to", F.row_number().over(shuffled))
-    donors = sample.withColumn("_to", F.row_number().over(straight)).select("_to", *[F.col(f).alias(f"_p_{f}") for f in features])
-    paired = numbered.join(donors, "_to")
+    every = df.select(key, label, *[f for f in features if f not in (key, label)])
+    if rows is not None:
+        every = sample_rows(every, key, rows, seed)
+    groups = 1 + every.count() // DONOR_ROWS
+    place = F.coalesce(hash_rank(F.to_json(F.struct("*")), f"{seed}|shuffle"), F.lit(0))
+    hashed = every.withColumn("_h", place).withColumn("_g", F.pmod(F.col("_h"), F.lit(groups)))
+    circle = Window.partitionBy("_g").orderBy("_h")
+    whole = F.struct(*[F.col(f) for f in features])
+    first = F.first(whole).over(circle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    paired = hashed.withColumn("_p", F.coalesce(F.lead(whole).over(circle), first))
     names = F.array(F.lit("(none)"), *[F.lit(f) for f in features])
     copies = paired.select("*", F.explode(names).alias("feature"))
-    mixed = copies.withColumns({f: F.when(F.col("feature") == f, F.col(f"_p_{f}")).otherwise(F.col(f)) for f in features})
+    mixed = copies.withColumns({f: F.when(F.col("feature") == f, F.col("_p")[f]).otherwise(F.col(f)) for f in features})
     scored = positive_probability(model, mixed.select("feature", label, *features, *[key for _ in [0] if key not in features]))
     auc = roc_auc(scored.select("feature", F.col(label).alias("y_true"), "y_proba"), ["feature"])
     base = auc.where("feature = '(none)'").select("roc_auc").scalar()

@@ -104,14 +104,14 @@ _PRC = with_(TX, PRED, _CURVE) + f"SELECT model, {sig('y_proba')} AS thr, {sig('
 ONE = "cb_balanced"
 
 
-@query("V6_roc_curve", _ROC + f" WHERE model = '{ONE}'")
+@query("V6_roc_curve", _ROC)
 def _(i):
-    return metrics.roc_curve(i.predictions.where(F.col("model") == ONE), BY)
+    return metrics.roc_curve(i.predictions, BY)
 
 
-@query("V7_pr_curve", _PRC + f" WHERE model = '{ONE}'")
+@query("V7_pr_curve", _PRC)
 def _(i):
-    return metrics.pr_curve(i.predictions.where(F.col("model") == ONE), BY)
+    return metrics.pr_curve(i.predictions, BY)
 
 
 @query(
@@ -120,8 +120,7 @@ def _(i):
     + f"SELECT model, {sig('y_proba')} AS thr, {sig('cn / n')} AS fpr, {sig('cp / p')} AS tpr, {sig('cp / (cp + cn)')} AS precision FROM cv",
 )
 def _(i):
-    roc, pr = metrics.roc_curve(i.predictions, BY), metrics.pr_curve(i.predictions, BY)
-    return roc.join(pr.drop("recall"), ["model", "thr"])
+    return metrics.both_curves(i.predictions, BY).drop("recall")
 
 
 def _report_sql() -> str:
@@ -338,7 +337,7 @@ def _(i):
 
 @query("M3_knn_join_partitioned", _KNN_SQL)
 def _(i):
-    return _knn(i, broadcast_values=0, pivots=12, block_rows=64)
+    return _knn(i, broadcast_values=0)
 
 
 LOF_K = anomaly.LOF_NEIGHBOURS

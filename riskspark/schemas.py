@@ -38,10 +38,12 @@ BEHAVIOUR_MEASURES = [
 BEHAVIOUR_NUMERIC = BEHAVIOUR_COUNTS + BEHAVIOUR_MEASURES
 BEHAVIOUR_COLUMNS = BEHAVIOUR_NUMERIC + BEHAVIOUR_LABELS
 
+# The stored order of the behaviour table's columns.
 BEHAVIOUR = T.StructType(
     [T.StructField("transdate", T.TimestampNTZType()), T.StructField("cst_dim_id", T.LongType())]
-    + [T.StructField(c, T.IntegerType()) for c in BEHAVIOUR_COUNTS]
+    + [T.StructField(c, T.IntegerType()) for c in BEHAVIOUR_COUNTS[:2]]
     + [T.StructField(c, T.StringType()) for c in BEHAVIOUR_LABELS]
+    + [T.StructField(c, T.IntegerType()) for c in BEHAVIOUR_COUNTS[2:]]
     + [T.StructField(c, T.DoubleType()) for c in BEHAVIOUR_MEASURES]
 )
 

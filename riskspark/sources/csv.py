@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from riskspark.functions.cleaning import clean_id, clean_numeric, numeric_like
 
@@ -70,8 +70,19 @@ def convert_raw(spark: SparkSession, source: str, target: str, is_subheader: Col
 
 
 def load_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Bulk load with a fixed schema; a row that does not fit stops the load."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """Bulk load with a fixed schema, bound by the names in the header; a row that does not fit stops the load.
+
+    Columns may stand in any order, and further ones are left out. A missing column, or a file of the folder with
+    another header than the first, is an error.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in names]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    known = {f.name: f for f in schema.fields}
+    bound = StructType([known.get(n, StructField(n, StringType())) for n in names])
+    reader = spark.read.schema(bound).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    return reader.csv(path).select(*schema.fieldNames())
 
 
 def read_training_csv(spark: SparkSession, path: str, label: str = "target", encoding: str = "windows-1251") -> DataFrame:

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators import oversample, sampling
+from riskspark.operators import decision, oversample, sampling
 
 
 def labelled(spark, n, positives):
@@ -88,3 +88,20 @@ def test_smotenc_invariants(spark, options):
 def test_smotenc_without_need(spark):
     df = labelled(spark, 10, 5).withColumn("x", F.lit(1.0))
     assert oversample.smotenc(df, "docno", "target", ["x"], []).count() == 10
+
+
+def test_equal_rows_and_missing_keys_are_split_exactly(spark):
+    equal = spark.createDataFrame([(7, 0)] * 1_000, "docno long, target int").repartition(5)
+    assert sampling.mark_test_rows(equal, "target", "docno").where("is_test").count() == 200
+    rows = [(None if i % 5 < 3 else i, None if i % 10 == 0 else i % 2) for i in range(400)]
+    marked = sampling.mark_test_rows(spark.createDataFrame(rows, "docno long, target int"), "target", "docno", test_size=0.5)
+    counts = {r["target"]: (r["n"], r["t"]) for r in marked.groupBy("target").agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect()}
+    assert counts == {None: (40, 20), 0: (160, 80), 1: (200, 100)}
+    assert 0 < marked.where("docno is null and is_test").count() < 240
+
+
+def test_a_key_with_several_scores_is_an_error_of_the_ensemble(spark):
+    rows = [(1, "a", 1, 0.1), (1, "a", 0, 0.9), (1, "b", 1, 0.2)]
+    scores = spark.createDataFrame(rows, "docno long, model string, y_true int, y_proba double")
+    with pytest.raises(Exception, match="several scores"):
+        decision.ensemble_scores(scores, "a", "b", "docno").collect()

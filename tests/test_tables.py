@@ -127,3 +127,14 @@ def test_feature_view_partitions(spark, tmp_path):
     stored = tables.write_feature_view(df, str(tmp_path / "view"))
     assert sorted(p.name for p in (tmp_path / "view").glob("transdate=*")) == ["transdate=2024-01-01", "transdate=2024-01-02"]
     assert "PartitionFilters: [isnotnull(transdate" in stored.where("transdate = DATE'2024-01-01'")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_load_table_binds_by_header(spark, tmp_path):
+    names = ["docno", "amount", "direction", "target", "cst_dim_id", "transdatetime", "transdate", "extra"]
+    path = tmp_path / "permuted.csv"
+    path.write_text(",".join(names) + "\n11,5.25,d,1,22,2024-01-02 03:04:05,2024-01-02,x\n")
+    (row,) = csv.load_table(spark, str(path), schemas.TRANSACTIONS).collect()
+    assert (row["docno"], row["cst_dim_id"], str(row["amount"])) == (11, 22, "5.25") and list(row.asDict()) == schemas.TRANSACTIONS.fieldNames()
+    path.write_text("docno,amount\n1,2\n")
+    with pytest.raises(ValueError, match="cst_dim_id"):
+        csv.load_table(spark, str(path), schemas.TRANSACTIONS)
