@@ -13,7 +13,7 @@ from riskspark.llm.text import SPACE, id_and_text, row_key
 from riskspark.session import cut_lineage
 
 #: A worker's memo of pieces between ASCII white space, per tokenizer file.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1_200_000
 MEMO_PIECE_BYTES = 64
 
 
@@ -42,6 +42,8 @@ class Encoder:
         # The text on either side of white space gives the same ids alone as together.
         both = [self._ids(x) for x in ("ab cd", "ab", "cd")]
         self.space_splits = both[0] == both[1] + both[2]
+        # Case does not count, and a stop after letters is a token of its own.
+        self.folds = all(self._ids(f"Ab{x}") == self._ids("ab") + self._ids(x) for x in ("", ",", "."))
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -52,6 +54,15 @@ class Encoder:
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _parts(self, piece: bytes) -> tuple[bytes, ...]:
+        """What a piece of ASCII letters with one stop after them is encoded as: lower-case letters, then the stop."""
+        if self.folds and piece.isascii():
+            if piece.isalpha():
+                return (piece.lower(),)
+            if piece[-1:] in (b",", b".") and piece[:-1].isalpha():
+                return (piece[:-1].lower(), piece[-1:])
+        return (piece,)
+
     def ids(self, text: str) -> bytes:
         """The ids of the text as little-endian unsigned 32-bit numbers."""
         if not self.space_splits:
@@ -61,12 +72,15 @@ class Encoder:
         memo, pieces = self.memo, text.encode().split()
         unseen = [p for p in dict.fromkeys(pieces) if p not in memo]
         if unseen:
-            encoded = self.tokenizer.encode_batch([p.decode() for p in unseen], add_special_tokens=False)
-            memo.update((p, _packed(e.ids)) for p, e in zip(unseen, encoded))
+            parts = {p: self._parts(p) for p in unseen}
+            fresh = [c for c in dict.fromkeys(c for cs in parts.values() for c in cs) if c not in memo]
+            encoded = self.tokenizer.encode_batch([c.decode() for c in fresh], add_special_tokens=False)
+            memo.update((c, _packed(e.ids)) for c, e in zip(fresh, encoded))
+            memo.update((p, b"".join([memo[c] for c in cs])) for p, cs in parts.items() if cs != (p,))
         ids = b"".join([memo[p] for p in pieces])
         for p in unseen:
             if len(p) > MEMO_PIECE_BYTES:
-                del memo[p]
+                memo.pop(p, None)
         return ids
 
     def count(self, text: str) -> int:
