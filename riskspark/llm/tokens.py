@@ -15,6 +15,8 @@ from riskspark.session import cut_lineage
 #: A worker's memo of pieces between ASCII white space, per tokenizer file.
 MEMO_PIECES = 1_200_000
 MEMO_PIECE_BYTES = 64
+#: Below it, all versions of Unicode agree on what is a letter.
+LATIN_END = "\u0250"
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -55,12 +57,14 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _parts(self, piece: bytes) -> tuple[bytes, ...]:
-        """What a piece of ASCII letters with one stop after them is encoded as: lower-case letters, then the stop."""
+        """What a piece of letters with one stop after them is encoded as: the letters (of ASCII in lower case), then the stop."""
         if self.folds and piece.isascii():
             if piece.isalpha():
                 return (piece.lower(),)
             if piece[-1:] in (b",", b".") and piece[:-1].isalpha():
                 return (piece[:-1].lower(), piece[-1:])
+        elif self.folds and piece[-1:] in (b",", b".") and (word := piece[:-1].decode()).isalpha() and max(word) < LATIN_END:
+            return (piece[:-1], piece[-1:])
         return (piece,)
 
     def ids(self, text: str) -> bytes:
