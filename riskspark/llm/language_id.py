@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.text import bounded_batches, id_and_text
@@ -16,50 +18,105 @@ from riskspark.session import cut_lineage
 
 UNKNOWN = "und"
 _ASCII_WORD = re.compile(r"[a-z]+")
-_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+#: Unseen words whose evidence a worker remembers, words that are worked out together, and words of a text that are summed together.
+MEMO_WORDS, WORD_BLOCK, SUM_BLOCK = 600_000, 4_096, 4_096
 
 
 @dataclass
 class LanguageModel:
-    """Log frequencies per language. ``words`` and every entry of ``grams`` map a string to an array over ``langs``."""
+    """Log frequencies per language. ``words`` and every entry of ``grams`` map a string to its row of ``scores``."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    words: dict[str, int]
+    grams: dict[int, dict[str, int]]
+    scores: np.ndarray
 
     def word(self, word: str) -> np.ndarray:
-        """Scores of one word: its own, or the mean over the longest n-grams that the model knows any of."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        padded = f" {word} "
-        for n in sorted(self.grams, reverse=True):
-            table = self.grams[n]
-            found = [table[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in table]
-            if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
-
-    def predict(self, text: str | None, memo: dict[str, np.ndarray]) -> tuple[str, float]:
-        """The best language and its share of the evidence."""
-        words = Counter(words_of(text or ""))
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        total = np.zeros(len(self.langs))
-        for word, n in words.items():
-            scores = memo.get(word)
-            if scores is None:
-                scores = memo[word] = self.word(word)
-            total += n * scores
-        # A word's evidence counts in full in short texts; in long ones the mean of 20 words is taken.
-        total *= min(1.0, 20.0 / sum(words.values()))
-        best = int(np.argmax(total))
-        return self.langs[best], float(1.0 / np.exp(np.clip(total - total[best], -700, 0)).sum())
+        """Scores of one word: its own, or those of its n-grams."""
+        return self.scores[self.words[word]] if word in self.words else Predictor(self).backed_off([word])[0]
+
+
+class Predictor:
+    """A model at work, with the evidence of the words it has seen so far. A worker's tasks share it."""
+
+    def __init__(self, model: LanguageModel):
+        self.model = model
+        self.clear()
+
+    @classmethod
+    def of(cls, model: LanguageModel) -> "Predictor":
+        if "predictor" not in model.__dict__:
+            model.__dict__["predictor"] = cls(model)
+        return model.__dict__["predictor"]
+
+    def clear(self) -> None:
+        """Forget all but the model's own words, which are the first rows of its scores."""
+        self.row = dict(self.model.words)
+        self.scores = self.model.scores[: len(self.row)]
+
+    def backed_off(self, words: list[str]) -> np.ndarray:
+        """Rows for unseen words: the mean over a word's longest n-grams that the model knows any of, else zeros."""
+        out = np.zeros((len(words), len(self.model.langs)), np.float32)
+        for start in range(0, len(words), WORD_BLOCK):
+            open_words = [(at, f" {w} ") for at, w in enumerate(words[start : start + WORD_BLOCK], start)]
+            for n in sorted(self.model.grams, reverse=True):
+                get, done, rows, counts, rest = self.model.grams[n].get, [], [], [], []
+                for at, padded in open_words:
+                    found = [r for i in range(len(padded) - n + 1) if (r := get(padded[i : i + n])) is not None]
+                    if found:
+                        done.append(at)
+                        counts.append(len(found))
+                        rows += found
+                    else:
+                        rest.append((at, padded))
+                if done:
+                    begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
+                    out[done] = np.add.reduceat(self.model.scores[rows], begins, axis=0) / np.array(counts, np.float32)[:, None]
+                open_words = rest
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """For every text the best language and its share of the evidence."""
+        langs = self.model.langs
+        if not langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        if len(self.row) > MEMO_WORDS:
+            self.clear()
+        words = [words_of(t or "") for t in texts]
+        unseen = list(set(chain.from_iterable(words)).difference(self.row))
+        if unseen:
+            self.row.update(zip(unseen, range(len(self.row), len(self.row) + len(unseen))))
+            self.scores = np.concatenate([self.scores, self.backed_off(unseen)])
+        out = []
+        for of_text in words:
+            if not of_text:
+                out.append((UNKNOWN, 0.0))
+                continue
+            at = np.fromiter(map(self.row.__getitem__, of_text), np.int64, len(of_text))
+            total = sum(self.scores[at[i : i + SUM_BLOCK]].sum(axis=0, dtype=np.float64) for i in range(0, len(at), SUM_BLOCK))
+            # A word's evidence counts in full in short texts; in long ones the mean of 20 words is taken.
+            total = total * min(1.0, 20.0 / len(at))
+            best = int(np.argmax(total))
+            out.append((langs[best], float(1.0 / np.exp(np.clip(total - total[best], -700, 0)).sum())))
+        return out
+
+
+@cache
+def _word() -> re.Pattern:
+    """A letter and the letters and marks that follow it, with the classes of characters spelled out as ranges."""
+
+    def ranges(kinds: str) -> str:
+        mine = [c for c in range(0x110000) if unicodedata.category(chr(c))[0] in kinds]
+        ends = [c for c, d in zip(mine, [*mine[1:], -1]) if d != c + 1]
+        begins = [c for c, d in zip(mine, [-1, *mine[:-1]]) if d != c - 1]
+        return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(begins, ends))
+
+    return re.compile(f"[{ranges('L')}][{ranges('LM')}]*")
 
 
 def words_of(text: str) -> list[str]:
     """Letters with the letters and marks that follow them, in lower case."""
-    return (_ASCII_WORD if text.isascii() else _WORD).findall(text.lower())
+    return (_ASCII_WORD if text.isascii() else _word()).findall(text.lower())
 
 
 def _log_frequencies(counts: dict[str, dict[int, int]], n_langs: int) -> dict[str, np.ndarray]:
@@ -90,7 +147,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     rows = rows.where("lang is not null and text is not null")
     langs = sorted(r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1_000).collect())
     if not langs:
-        return LanguageModel([], {}, {})
+        return LanguageModel([], {}, {}, np.empty((0, 0), np.float32))
     number = {lang: i for i, lang in enumerate(langs)}
     order = F.xxhash64(F.col("id").cast("string"), F.lit(11))
     lowest = rows.select("lang", order.alias("h")).groupBy("lang").agg(F.count("*").alias("n"))
@@ -117,11 +174,15 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     pairs = sample.mapInArrow(counted, "lang int, size int, key string, n long").groupBy("size", "key", "lang").agg(F.sum("n").alias("n"))
     each = pairs.groupBy("size", "key").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
     each = cut_lineage(each, "language-counts")
-    tables: dict[int, dict[str, np.ndarray]] = {}
+    rows: dict[int, dict[str, int]] = {}
+    scores, filled = [np.empty((0, len(langs)), np.float32)], 0
     for size in range(longest + 1):
         kept = each.where(F.col("size") == size).orderBy(F.desc("all"), "key").limit(max_grams if size else max_words).collect()
-        tables[size] = _log_frequencies({r["key"]: {x["lang"]: x["n"] for x in r["by"]} for r in kept}, len(langs))
-    return LanguageModel(langs, tables.pop(0), tables)
+        table = _log_frequencies({r["key"]: {x["lang"]: x["n"] for x in r["by"]} for r in kept}, len(langs))
+        rows[size] = {key: filled + i for i, key in enumerate(table)}
+        scores += table.values()
+        filled += len(table)
+    return LanguageModel(langs, rows.pop(0), rows, np.vstack(scores))
 
 
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -133,14 +194,11 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     """
     rows = id_and_text(docs, id_col, text_col)
     held = docs.sparkSession.sparkContext.broadcast(model)
-    memo: dict[str, np.ndarray] = {}
 
     def predicted(batches):
-        known = held.value
+        predictor = Predictor.of(held.value)
         for batch in batches:
-            if len(memo) > 200_000:
-                memo.clear()
-            pairs = [known.predict(t, memo) for t in batch.column(1).to_pylist()]
+            pairs = predictor.predict(batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score"])
 
