@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 from itertools import chain
@@ -18,8 +19,10 @@ from riskspark.session import cut_lineage
 
 UNKNOWN = "und"
 _ASCII_WORD = re.compile(r"[a-z]+")
-#: Unseen words whose evidence a worker remembers, words that are worked out together, and words of a text that are summed together.
-MEMO_WORDS, WORD_BLOCK, SUM_BLOCK = 600_000, 4_096, 4_096
+#: Words whose evidence a worker remembers, words that are worked out together, and words of a text that are summed together.
+MEMO_WORDS, WORD_BLOCK, SUM_BLOCK = 300_000, 4_096, 4_096
+#: Characters of the texts that are split into words together.
+BLOCK_CHARS = 1_000_000
 
 
 @dataclass
@@ -101,6 +104,18 @@ class Predictor:
         return out
 
 
+def _blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about BLOCK_CHARS in all; a longer text is one by itself or ends one."""
+    block, chars = [], 0
+    for text in texts:
+        block.append(text)
+        chars += len(text or "")
+        if chars >= BLOCK_CHARS:
+            yield block
+            block, chars = [], 0
+    yield block
+
+
 @cache
 def _word() -> re.Pattern:
     """A letter and the letters and marks that follow it, with the classes of characters spelled out as ranges."""
@@ -198,7 +213,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     def predicted(batches):
         predictor = Predictor.of(held.value)
         for batch in batches:
-            pairs = predictor.predict(batch.column(1).to_pylist())
+            pairs = [p for block in _blocks(batch.column(1).to_pylist()) for p in predictor.predict(block)]
             columns = [batch.column(0), pa.array([p[0] for p in pairs], pa.string()), pa.array([p[1] for p in pairs], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score"])
 
