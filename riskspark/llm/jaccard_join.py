@@ -135,10 +135,43 @@ def _unique(tokens: DataFrame) -> DataFrame:
     return alone.groupBy("id").agg(F.count("*").alias("unique"))
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """For two to four classes of hash values per token: whether the set has an odd number of tokens in each."""
+    size = max(64, 1 << max(2 * len(tokens) - 1, 0).bit_length())
+    counts = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_differing(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of tokens in only one of two sets: classes of which one has an odd number and the other not.
+
+    The longer table is folded to the classes of the shorter one.
+    """
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _possible(percent: int):
+    """mapInArrow function over (a, b, n_a, n_b, odd_a, odd_b): the pairs (a, b) that parities do not rule out."""
+
+    def run(batches):
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns[2:]]
+            keep = [(n + m) * (100 - percent) >= (100 + percent) * least_differing(x, y) for n, m, x, y in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    return run
+
+
 def _set_hashes(ids, sets, texts):
     h1 = np.array([np.bitwise_xor.reduce(mix(s + _C)) for s in sets], np.uint64)
     h2 = np.array([mix(s + _A).sum(dtype=np.uint64) for s in sets], np.uint64)
-    return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64), "h1": h1, "h2": h2, "text": texts})
+    odd = pa.array([parities(s) for s in sets], pa.binary())
+    return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64), "h1": h1, "h2": h2, "odd": odd, "text": texts})
 
 
 def _verified(n: int, percent: int):
@@ -181,10 +214,17 @@ class _Join:
         return facts.where(F.expr(f"unique <= n * {100 - self.percent} div 100")).withColumn("light", F.col("unique") * 2 <= F.col("differing"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (a, b) that are similar enough, by their whole sets."""
-        left = self.texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-        right = self.texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-        both = cut_lineage(pairs, "pairs").join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+        """Those of the pairs (a, b) that are similar enough, by their whole sets.
+
+        Texts move only for pairs that the parities of both sets, a small part of a text's size, leave possible.
+        """
+
+        def side(name: str, *columns: str) -> DataFrame:
+            return self.texts.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+
+        facts = cut_lineage(pairs, "pairs").join(side("a", "n", "odd"), "a").join(side("b", "n", "odd"), "b")
+        possible = facts.select("a", "b", "n_a", "n_b", "odd_a", "odd_b").mapInArrow(_possible(self.percent), f"a {self.kind}, b {self.kind}")
+        both = cut_lineage(possible, "possible").join(side("a", "text"), "a").join(side("b", "text"), "b").select("a", "b", "text_a", "text_b")
         return cut_lineage(both.mapInArrow(_verified(self.n, self.percent), f"a {self.kind}, b {self.kind}"), "links")
 
     def frequent(self) -> np.ndarray:
@@ -262,8 +302,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     nothing. ``percent`` is at least 75, which the extended prefixes need.
 
     A document with more unique shingles than a partner may lack has no partner; counting a third of the hash space tells so for
-    nearly all that have none. The others, one for each set, are joined by their signatures (see ``signatures``) and
-    verified by their whole sets.
+    nearly all that have none. The others, one for each set, are joined by their signatures (see ``signatures``); pairs that
+    parities (see ``least_differing``) leave possible are verified by their whole sets.
 
     A NULL text has no words. A row with a NULL id is linked with nothing and its component is NULL. Rows that share an id are
     one document: what one is linked with, the others are too.
@@ -291,10 +331,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
         for batch in batches:
             yield _set_hashes(batch.column(0), [shingle_set(t, n, memo) for t in batch.column(1).to_pylist()], batch.column(1))
 
-    sets = cut_lineage(wanted.mapInArrow(hashed, f"id {kind}, n long, h1 long, h2 long, text string"), "sets")
+    sets = cut_lineage(wanted.mapInArrow(hashed, f"id {kind}, n long, h1 long, h2 long, odd binary, text string"), "sets")
     firsts = cut_lineage(sets.groupBy("h1", "h2").agg(F.min("id").alias("first")), "firsts")
     copies = cut_lineage(sets.select("id", "h1", "h2").join(firsts, ["h1", "h2"]).select("id", "first").distinct(), "copies")
-    texts = cut_lineage(sets.join(firsts.select("h1", "h2", F.col("first").alias("id")), ["id", "h1", "h2"], "left_semi").select("id", "n", "text"), "texts")
+    texts = cut_lineage(sets.join(firsts.select("h1", "h2", F.col("first").alias("id")), ["id", "h1", "h2"], "left_semi").select("id", "n", "odd", "text"), "texts")
 
     between = _Join(n, percent, texts).links()
     same = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))

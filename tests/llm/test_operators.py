@@ -253,6 +253,19 @@ def test_jaccard_join_of_changed_copies(spark, monkeypatch, frequent, n, percent
     assert {r["id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(dict(rows), n, percent)
 
 
+def test_parities_never_exceed_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    for n, m, shared in [(0, 0, 0), (1, 3, 1), (40, 45, 38), (500, 560, 480), (3000, 900, 700), (5000, 5100, 0)]:
+        tokens = rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64)
+        x, y = jaccard_join.parities(tokens[:n]), jaccard_join.parities(tokens[n - shared :])
+        differing = n + m - 2 * shared
+        assert jaccard_join.least_differing(x, y) == jaccard_join.least_differing(y, x) <= differing
+        assert jaccard_join.least_differing(x, x) == 0
+    assert jaccard_join.least_differing(jaccard_join.parities(tokens[:500]), jaccard_join.parities(tokens[400:900])) > 500
+
+
 def test_jaccard_join_edges(edge, empty):
     rows = jaccard_join.near_duplicates(edge).collect()
     assert len(rows) == edge.count() and jaccard_join.near_duplicates(empty).count() == 0
