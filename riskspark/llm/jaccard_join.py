@@ -112,8 +112,14 @@ def _flat(ids: pa.Array, parts: list[np.ndarray]) -> tuple[np.ndarray, pa.Array]
     return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), ids.take(pa.array(owner, pa.int64()))
 
 
+def _set_hashes(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each whole set, which stand for it."""
+    return np.array([np.bitwise_xor.reduce(mix(s + _C)) for s in sets], np.uint64), np.array([mix(s + _A).sum(dtype=np.uint64) for s in sets], np.uint64)
+
+
 def _sizes(ids, sets):
-    return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64)})
+    h1, h2 = _set_hashes(sets)
+    return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64), "h1": h1, "h2": h2})
 
 
 def _tokens(ids, sets):
@@ -167,11 +173,21 @@ def _possible(percent: int):
     return run
 
 
-def _set_hashes(ids, sets, texts):
-    h1 = np.array([np.bitwise_xor.reduce(mix(s + _C)) for s in sets], np.uint64)
-    h2 = np.array([mix(s + _A).sum(dtype=np.uint64) for s in sets], np.uint64)
-    odd = pa.array([parities(s) for s in sets], pa.binary())
-    return _batch({"id": ids, "n": np.array([len(s) for s in sets], np.int64), "h1": h1, "h2": h2, "odd": odd, "text": texts})
+def _leading_texts(n: int):
+    """mapInArrow function over (id, text, h1, h2): those texts whose set has these hashes, with size and parities."""
+    memo: dict[bytes, int] = {}
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t, n, memo) for t in batch.column(1).to_pylist()]
+            h1, h2 = _set_hashes(sets)
+            asked1, asked2 = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in (2, 3))
+            keep = pa.array((h1 == asked1) & (h2 == asked2))
+            odd = pa.array([parities(s) for s in sets], pa.binary())
+            found = _batch({"id": batch.column(0), "n": np.array([len(s) for s in sets], np.int64), "odd": odd, "text": batch.column(1)})
+            yield found.filter(keep)
+
+    return run
 
 
 def _verified(n: int, percent: int):
@@ -312,7 +328,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     limit = Threshold(percent)
     rows = id_and_text(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    sizes = cut_lineage(rows.mapInArrow(_per_text(n, _sizes), f"id {kind}, n long"), "sizes")
+    sizes = cut_lineage(rows.mapInArrow(_per_text(n, _sizes), f"id {kind}, n long, h1 long, h2 long"), "sizes")
     named = rows.where("id is not null and text is not null")
 
     unique = _unique(named.mapInArrow(_per_text(n, _low_tokens), f"token long, id {kind}"))
@@ -320,21 +336,19 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     candidates = sizes.where("id is not null and n > 0").join(unique, "id", "left").where(F.coalesce("unique", F.lit(0)) <= missing)
     candidates = cut_lineage(candidates.select("id").distinct(), "candidates")
 
-    # A fixed table of bits keeps most other texts from moving to the exact join.
+    # Of equal sets one leads; only texts of leaders move.
+    sets = cut_lineage(sizes.where("id is not null and n > 0").join(candidates, "id").select("id", "h1", "h2").distinct(), "sets")
+    firsts = cut_lineage(sets.groupBy("h1", "h2").agg(F.min("id").alias("first")), "firsts")
+    copies = cut_lineage(sets.join(firsts, ["h1", "h2"]).select("id", "first").distinct(), "copies")
+
+    # A fixed table of bits keeps most other texts from moving to the exact join. That one is no semi join, since Spark
+    # would push it below the table of bits.
     place, bit = F.pmod(F.xxhash64("id"), F.lit(FILTER_WORDS)), F.shiftrightunsigned(F.xxhash64("id"), 40).bitwiseAND(63).cast("int")
-    bits = candidates.groupBy(place.alias("place")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    leaders = firsts.select(F.col("first").alias("id"), "h1", "h2")
+    bits = leaders.groupBy(place.alias("place")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
     maybe = named.withColumn("place", place).join(F.broadcast(bits), "place").where(F.call_function("shiftright", "bits", bit).bitwiseAND(1) == 1)
-    wanted = maybe.select("id", "text").join(candidates, "id", "left_semi")
-
-    def hashed(batches):
-        memo: dict[bytes, int] = {}
-        for batch in batches:
-            yield _set_hashes(batch.column(0), [shingle_set(t, n, memo) for t in batch.column(1).to_pylist()], batch.column(1))
-
-    sets = cut_lineage(wanted.mapInArrow(hashed, f"id {kind}, n long, h1 long, h2 long, odd binary, text string"), "sets")
-    firsts = cut_lineage(sets.groupBy("h1", "h2").agg(F.min("id").alias("first")), "firsts")
-    copies = cut_lineage(sets.select("id", "h1", "h2").join(firsts, ["h1", "h2"]).select("id", "first").distinct(), "copies")
-    texts = cut_lineage(sets.join(firsts.select("h1", "h2", F.col("first").alias("id")), ["id", "h1", "h2"], "left_semi").select("id", "n", "odd", "text"), "texts")
+    wanted = maybe.select("id", "text").join(leaders, "id").select("id", "text", "h1", "h2")
+    texts = cut_lineage(wanted.mapInArrow(_leading_texts(n), f"id {kind}, n long, odd binary, text string"), "texts")
 
     between = _Join(n, percent, texts).links()
     same = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
