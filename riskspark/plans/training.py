@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import SQLTransformer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
@@ -12,19 +12,22 @@ from riskspark.functions.hashing import hash_rank
 from riskspark.operators.metrics import roc_auc
 from riskspark.operators.ranking import sample_rows
 from riskspark.operators.sampling import class_weights, mark_test_rows, scenario_weights
+from riskspark.session import cut_lineage
 
 # Hyper-parameters of the three training set-ups.
 BALANCED = {"maxIter": 1200, "maxDepth": 6, "stepSize": 0.035, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 NUMERIC = {"maxIter": 600, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"}
 WEIGHTED = {**BALANCED, "maxIter": 1800}
+#: Rounds without a better one after which boosting ends.
+PATIENCE = 100
 SEED = 42
 CATEGORY_BUCKETS = 1 << 20
 #: Rows that exchange values with each other when a column is shuffled.
 DONOR_ROWS = 20_000
 
 
-def build_stages(numeric: list[str], categorical: list[str], label: str, params: dict, weight: str, validation: str | None) -> Pipeline:
-    """Categories become smoothed target means (hashed, so any number of categories fits), then trees."""
+def input_stages(numeric: list[str], categorical: list[str], label: str) -> list:
+    """Categories become smoothed target means (hashed, so any number of categories fits), then one vector."""
     stages = []
     if categorical:
         codes = ", ".join(f"CAST(pmod(xxhash64({n}), {CATEGORY_BUCKETS}) AS DOUBLE) AS {n}__code" for n in categorical)
@@ -38,17 +41,37 @@ def build_stages(numeric: list[str], categorical: list[str], label: str, params:
     else:
         encoded = []
     stages.append(VectorAssembler(inputCols=[*numeric, *encoded], outputCol="model_input", handleInvalid="keep"))
-    learner = GBTClassifier(featuresCol="model_input", labelCol=label, weightCol=weight, seed=SEED, **params)
-    if validation:
-        learner = learner.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[*stages, learner])
+    return stages
+
+
+def boost(learner: GBTClassifier, rows: DataFrame, watched: DataFrame, patience: int = PATIENCE) -> tuple[GBTClassificationModel, list[float]]:
+    """(model of the best round, loss on the watched rows after each round).
+
+    Rounds double until the best one lies ``patience`` rounds before the last, or all that ``learner`` allows are tried. Fits with one
+    seed over one stored frame begin with the same trees, so the model of the best round is a fit of that many rounds.
+    """
+    most, rounds = learner.getMaxIter(), min(patience, learner.getMaxIter())
+    while True:
+        model = learner.copy({learner.maxIter: rounds}).fit(rows)
+        losses = model.evaluateEachIteration(watched)
+        best = min(range(len(losses)), key=losses.__getitem__) + 1
+        if rounds == most or rounds - best >= patience:
+            break
+        rounds = min(2 * rounds, most)
+    return (model if best == rounds else learner.copy({learner.maxIter: best}).fit(rows)), losses
 
 
 def _fit(train: DataFrame, numeric: list[str], categorical: list[str], label: str, key: str, weight: str, params: dict) -> PipelineModel:
-    """Early stopping watches a tenth of the training rows, never the test set."""
-    watched = mark_test_rows(train, label, key, 0.1, SEED).withColumnRenamed("is_test", "is_validation")
-    typed = watched.withColumn(label, F.col(label).cast("double"))
-    return build_stages(numeric, categorical, label, params, weight, "is_validation").fit(typed)
+    """The best round is chosen on a tenth of the training rows, which nothing else is fitted to; never on the test set."""
+    marked = mark_test_rows(train, label, key, 0.1, SEED).withColumn(label, F.col(label).cast("double"))
+    marked = cut_lineage(marked.select(*{n: None for n in [*numeric, *categorical, label, weight, "is_test"]}), "train-rows")
+    inputs = Pipeline(stages=input_stages(numeric, categorical, label)).fit(marked.where("not is_test"))
+    vectors = cut_lineage(inputs.transform(marked).select(label, weight, "is_test", "model_input"), "train-vectors")
+    learner = GBTClassifier(featuresCol="model_input", labelCol=label, weightCol=weight, seed=SEED, **params)
+    rows, watched = vectors.where("not is_test"), vectors.where("is_test")
+    # Too few rows to watch any: all rounds count.
+    model = learner.fit(rows) if watched.isEmpty() else boost(learner, rows, watched)[0]
+    return PipelineModel(stages=[*inputs.stages, model])
 
 
 def train_balanced(train: DataFrame, numeric: list[str], categorical: list[str], label: str = "target", key: str = "docno", **params) -> PipelineModel:

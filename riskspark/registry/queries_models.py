@@ -415,8 +415,8 @@ def _(i):
 
 # --- training and scoring -------------------------------------------------------------------------------------
 
-# Fewer trees than the stored set-ups, for turnaround; the parameter is the caller's.
-TREES = 5
+# At most so many rounds, fewer than the stored set-ups, for turnaround; the parameter is the caller's.
+TREES = 20
 
 
 def _kinds(i: Inputs):

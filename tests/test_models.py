@@ -1,4 +1,6 @@
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskspark import schemas
@@ -6,6 +8,7 @@ from riskspark.operators import metrics, scenarios
 from riskspark.plans import contract, scoring, training
 from riskspark.registry import queries_models as registered
 from riskspark.registry.core import Inputs
+from riskspark.session import cut_lineage
 from riskspark.streaming import score_stream as streaming
 
 SF = "/root/testdata/sf0.01"
@@ -24,6 +27,21 @@ def test_models_beat_chance(spark, inputs):
         assert auc > 0.6
 
 
+def test_every_allowed_round_is_tried(spark):
+    n = 2_000
+    df = spark.range(n).selectExpr("CAST(xxhash64(id) % 1000 AS DOUBLE) AS x", "CAST(xxhash64(id, 7) % 1000 AS DOUBLE) AS y")
+    noisy = df.selectExpr("x", "y", "CAST(x * y > 0 AND xxhash64(x, y) % 10 <> 0 AS DOUBLE) AS target", "1.0D AS w", "xxhash64(y, x, 3) % 4 = 0 AS held")
+    rows = cut_lineage(VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(noisy), "rounds")
+    learner = GBTClassifier(featuresCol="v", labelCol="target", weightCol="w", seed=42, maxIter=16, maxDepth=3, stepSize=0.4, subsamplingRate=0.9)
+    train, held = rows.where("not held"), rows.where("held")
+    model, losses = training.boost(learner, train, held, patience=4)
+    best = losses.index(min(losses)) + 1
+    assert len(losses) in (4, 8, 16) and (len(losses) == 16 or len(losses) - best >= 4)
+    assert model.getNumTrees == best > 1
+    # A fit of fewer rounds is the beginning of one of more, so the model kept is the best of those tried.
+    assert model.evaluateEachIteration(held) == pytest.approx(losses[:best])
+
+
 def test_validation_rows_come_from_train(inputs):
     assert inputs.train.join(inputs.test, "docno").count() == 0
 
