@@ -7,16 +7,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from riskspark.functions.hashing import hash_rank
 from riskspark.operators.knn import as_points, knn_join
 from riskspark.operators.quantiles import order_statistics
 from riskspark.session import cut_lineage
 
 N_TREES = 200
 TREE_ROWS = 256
-POOL_ROWS = 8 * TREE_ROWS
 LOF_NEIGHBOURS = 50
 CONTAMINATION = 0.01
 SEED = 42
@@ -56,26 +55,57 @@ def grow_tree(rows: np.ndarray, max_depth: int, rng: np.random.Generator) -> lis
     return nodes
 
 
-def fit_forest(train: DataFrame, key: str, columns: list[str], n_trees: int = N_TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> tuple[DataFrame, int]:
-    """(node table, rows per tree). Each tree takes the rows with the smallest hash for that tree.
+def draw_rows(train: DataFrame, key: str, columns: list[str], n_trees: int = N_TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> tuple[DataFrame, int]:
+    """(tree, place, vec) of ``tree_rows`` rows per tree, drawn from all rows, and the rows per tree.
 
-    A large frame is first thinned to about twice ``POOL_ROWS`` rows, picked at random;
-    the trees are grown in parallel, one bounded group each.
+    A hash of a row's content and the tree lets it through with a small probability, so that about twice the wanted rows are
+    left per tree; of these the least hashes are taken. Neither partitions nor the order of rows matter. Equal rows
+    (key and values) are one row with a count, whose copies are drawn one by one.
     """
     total = train.count()
     per_tree = min(tree_rows, total)
+    # So many that a tree with fewer than it wants does not occur (11 standard deviations at 256 rows).
+    chance = min(1.0, (2 * per_tree + 64) / max(total, 1))
     vec = F.array(*[F.col(c).cast("double") for c in columns])
-    rows = train.select(F.col(key).cast("string").alias("k"), vec.alias("vec"))
-    if total > 2 * POOL_ROWS:
-        # Row by row, so that copies of one row or key do not come in together; written once.
-        rows = rows.sample(False, 2 * POOL_ROWS / total, seed).repartition(8)
-    rows = cut_lineage(rows, "forest-pool")
-    copy = F.row_number().over(Window.partitionBy("k").orderBy("vec"))  # the pool is small
-    named = rows.withColumn("k", F.concat(F.col("k"), F.lit("#"), copy.cast("string")))
-    per_row = named.select("vec", "k", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-    ranked = per_row.withColumn("h", hash_rank(F.col("k"), F.concat(F.lit(f"{seed}|"), F.col("tree").cast("string"))))
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("h", "k", "vec"))
-    sampled = ranked.withColumn("place", place).where(F.col("place") <= per_tree)
+    rows = train.select(F.col(key).cast("string").alias("k"), vec.alias("vec")).groupBy("k", "vec").agg(F.count("*").alias("n"))
+    salts = np.random.default_rng(seed).integers(0, 2**64, n_trees, dtype=np.uint64)
+
+    def drawn(batches):
+        for batch in batches:
+            h, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            once, row, tree, rank = np.flatnonzero(n == 1), [], [], []
+            for t, salt in enumerate(salts):
+                u = _uniform(h[once] ^ salt)
+                hit = np.flatnonzero(u < chance)
+                row.append(once[hit])
+                tree.append(np.full(len(hit), t))
+                rank.append(u[hit])
+            for i in np.flatnonzero(n > 1):
+                rng = np.random.default_rng([seed, int(h[i])])
+                copies = rng.binomial(n[i], chance, n_trees)
+                tree.append(np.repeat(np.arange(n_trees), copies))
+                row.append(np.full(len(tree[-1]), i))
+                rank.append(rng.uniform(0, chance, len(tree[-1])))
+            at = pa.array(np.concatenate(row))
+            columns = [pa.array(np.concatenate(tree).astype(np.int32)), pa.array(np.concatenate(rank)), batch.column(0).take(at), batch.column(2).take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["tree", "rank", "h", "vec"])
+
+    hashed = rows.select(F.xxhash64("k", "vec").alias("h"), "n", "vec")
+    picked = cut_lineage(hashed.mapInArrow(drawn, "tree int, rank double, h long, vec array<double>"), "forest-rows")
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("rank", "h", "vec"))  # a tree has a few hundred rows
+    return picked.withColumn("place", place).where(F.col("place") <= per_tree).select("tree", "place", "vec"), per_tree
+
+
+def _uniform(x: np.ndarray) -> np.ndarray:
+    """Numbers in [0, 1) from 64-bit integers, by the last steps of splitmix64."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+def fit_forest(train: DataFrame, key: str, columns: list[str], n_trees: int = N_TREES, tree_rows: int = TREE_ROWS, seed: int = SEED) -> tuple[DataFrame, int]:
+    """(node table, rows per tree). Each tree draws its rows from all of ``train``; trees are grown in parallel, one bounded group each."""
+    sampled, per_tree = draw_rows(train, key, columns, n_trees, tree_rows, seed)
     depth = max(1, math.ceil(math.log2(max(per_tree, 2))))
 
     def grow(group: pd.DataFrame) -> pd.DataFrame:
@@ -88,7 +118,7 @@ def fit_forest(train: DataFrame, key: str, columns: list[str], n_trees: int = N_
         return frame
 
     schema = "tree int, node int, feature int, threshold double, left int, right int, path double"
-    return sampled.select("tree", "place", "vec").groupBy("tree").applyInPandas(grow, schema), per_tree
+    return sampled.groupBy("tree").applyInPandas(grow, schema), per_tree
 
 
 def pack_forest(nodes: pd.DataFrame) -> tuple[np.ndarray, ...]:

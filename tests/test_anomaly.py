@@ -130,6 +130,17 @@ def test_forest_thins_a_large_frame(spark):
     assert per_tree == 256 and frame_.tree.nunique() == 5 and (frame_.groupby("tree").size() <= 511).all()
 
 
+def test_forest_draws_from_all_rows(spark):
+    """Trees share no pool, partitions do not matter, and copies of a row are drawn as often as other rows."""
+    df = spark.range(20_000).select("id", F.least("id", F.lit(10_000)).cast("double").alias("x0"), F.when(F.col("id") < 10_000, F.col("id")).otherwise(-1).alias("k"))
+    trees = [anomaly.draw_rows(part, "k", ["x0"], n_trees=40)[0].select("tree", "place", F.col("vec")[0].alias("x")).toPandas() for part in (df.repartition(3), df.repartition(7))]
+    first, second = (t.sort_values(["tree", "place"]).reset_index(drop=True) for t in trees)
+    assert first.equals(second) and (first.groupby("tree").size() == 256).all() and first.tree.nunique() == 40
+    assert abs((first.x == 10_000).mean() - 0.5) < 0.03 and first.x.nunique() > 3_500
+    nodes = [anomaly.fit_forest(part, "k", ["x0"], n_trees=5)[0].toPandas().sort_values(["tree", "node"]).reset_index(drop=True) for part in (df.repartition(3), df.repartition(7))]
+    assert nodes[0].equals(nodes[1])
+
+
 def test_numeric_columns_include_ids(spark):
     df = spark.createDataFrame([(1, 2, 0, "a", 0.5)], "cst_dim_id long, docno long, target int, kind string, x double")
     assert anomaly.anomaly_columns(df, "target") == ["cst_dim_id", "docno", "x"]
