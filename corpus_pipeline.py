@@ -58,8 +58,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens, each a sequence of its own."""
-    return pack(docs, vocabulary_path(), longest=2048, end_id=1, with_ids=False).withColumnRenamed("id", "doc_id")
+    """Pieces of at most 2048 tokens with their ids and a CRC of them, each a sequence of its own."""
+    return pack(docs, vocabulary_path(), longest=2048, end_id=1).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

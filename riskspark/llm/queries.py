@@ -86,8 +86,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pack(table(spark, sf_dir, "documents"), vocabulary_path(), longest=2048, end_id=1, with_ids=False)
-    return out.withColumnRenamed("id", "doc_id")
+    out = pack(table(spark, sf_dir, "documents"), vocabulary_path(), longest=2048, end_id=1).withColumnRenamed("id", "doc_id")
+    return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

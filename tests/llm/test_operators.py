@@ -205,6 +205,12 @@ def test_packing_edges(edge, empty):
     assert binary_lengths(8 * 2 + 5, 8) == [8, 8, 4, 1] and binary_lengths(0, 8) == []
 
 
+def test_packing_crc_is_of_the_stored_ids(edge):
+    for r in pack(edge, VOCABULARY, longest=8).collect():
+        assert len(r["ids"]) == r["length"]
+        assert r["ids_crc32"] == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in r["ids"]))
+
+
 def brute_components(texts, n, percent):
     sets = {}
     for i, t in texts.items():

@@ -1,7 +1,8 @@
 """The stages against plain Python on their own inputs."""
 
 import pyarrow.parquet as pq
-from test_operators import SF, brute_components, brute_windows, lower
+from test_operators import SF, VOCABULARY, brute_components, brute_windows, lower
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from riskspark.llm.text import letter_words
@@ -29,6 +30,16 @@ def test_stages(spark):
     assert {r["doc_id"] for r in spans} == set(kept["decontamination"])
 
 
+def test_packed_rows_hold_all_ids_of_their_texts(spark):
+    docs = corpus_pipeline.table(spark, SF, "documents").limit(50)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    tokenizer, pieces = Tokenizer.from_file(VOCABULARY), {i: [] for i in texts}
+    for r in sorted(corpus_pipeline.packing(spark, docs, SF).collect(), key=lambda r: r["start"]):
+        pieces[r["doc_id"]] += r["ids"]
+    assert pieces == {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in texts.items()}
+
+
 def test_stages_on_edge_cases(spark):
     rows = [(1, "one two three", "en", 9), (1, "one two three", "en", 9), (None, "some words here", None, 9), (3, None, None, 9), (4, "", "en", 9), (5, "12", "de", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, _kept_id int")
