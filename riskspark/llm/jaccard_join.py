@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.components import connected_components
+from riskspark.llm.differences import LEADER_ROUNDS, open_pairs, size_class
 from riskspark.llm.text import id_and_text, space_words
 from riskspark.session import cut_lineage
 
@@ -20,6 +21,8 @@ FREQUENT = 32
 MOST_FREQUENT = 1 << 20
 #: Words of a fixed table of bits that tells which ids may be wanted; false alarms only cost work.
 FILTER_WORDS = 1 << 16
+#: Words of which a task remembers the hashes, and bytes of text whose sets are held at once.
+MEMO_WORDS, BLOCK_BYTES = 200_000, 4 << 20
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -37,7 +40,7 @@ def shingle_set(text: str | None, n: int, memo: dict[bytes, int]) -> np.ndarray:
     words = space_words((text or "").encode())
     if not words:
         return np.empty(0, np.uint64)
-    if len(memo) > 500_000:
+    if len(memo) > MEMO_WORDS:
         memo.clear()
     for w in set(words).difference(memo):
         memo[w] = xxhash.xxh3_64_intdigest(w)
@@ -95,14 +98,41 @@ def _batch(columns: dict[str, np.ndarray | pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+def blocks(batch: pa.RecordBatch):
+    """Slices of a batch (id, text or tokens, ...) with about BLOCK_BYTES each; a longer row is one by itself or ends one."""
+    begin, size = 0, 0
+    for at, value in enumerate(batch.column(1)):
+        size += len(value.as_buffer()) if value.is_valid else 0
+        if size >= BLOCK_BYTES:
+            yield batch.slice(begin, at + 1 - begin)
+            begin, size = at + 1, 0
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
 def _per_text(n: int, make):
-    """mapInArrow function over (id, text): calls ``make(ids, sets)`` for every batch with the shingle sets."""
+    """mapInArrow function over (id, text): calls ``make(ids, sets)`` for every block with the shingle sets."""
     memo: dict[bytes, int] = {}
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, n, memo) for t in batch.column(1).to_pylist()]
-            yield make(batch.column(0), sets)
+            for block in blocks(batch):
+                yield make(block.column(0), [shingle_set(t, n, memo) for t in block.column(1).to_pylist()])
+
+    return run
+
+
+def stored_set(tokens: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(tokens.as_buffer(), np.uint64)
+
+
+def _per_set(make):
+    """The same over (id, tokens) of stored sets."""
+
+    def run(batches):
+        for batch in batches:
+            for block in blocks(batch):
+                yield make(block.column(0), [stored_set(t) for t in block.column(1)])
 
     return run
 
@@ -173,35 +203,32 @@ def _possible(percent: int):
     return run
 
 
-def _leading_texts(n: int):
-    """mapInArrow function over (id, text, h1, h2): those texts whose set has these hashes, with size and parities."""
+def _leading_sets(n: int):
+    """mapInArrow function over (id, text, h1, h2): the sets of those texts whose set has these hashes, with size and parities."""
     memo: dict[bytes, int] = {}
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, n, memo) for t in batch.column(1).to_pylist()]
-            h1, h2 = _set_hashes(sets)
-            asked1, asked2 = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in (2, 3))
-            keep = pa.array((h1 == asked1) & (h2 == asked2))
-            odd = pa.array([parities(s) for s in sets], pa.binary())
-            found = _batch({"id": batch.column(0), "n": np.array([len(s) for s in sets], np.int64), "odd": odd, "text": batch.column(1)})
-            yield found.filter(keep)
+            for block in blocks(batch):
+                sets = [shingle_set(t, n, memo) for t in block.column(1).to_pylist()]
+                h1, h2 = _set_hashes(sets)
+                asked1, asked2 = (block.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in (2, 3))
+                keep = pa.array((h1 == asked1) & (h2 == asked2))
+                odd, tokens = pa.array([parities(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())
+                found = _batch({"id": block.column(0), "n": np.array([len(s) for s in sets], np.int64), "odd": odd, "tokens": tokens})
+                yield found.filter(keep)
 
     return run
 
 
-def _verified(n: int, percent: int):
-    memo: dict[bytes, int] = {}
+def _verified(percent: int):
+    """mapInArrow function over (a, b, tokens_a, tokens_b): the pairs (a, b) of similar sets."""
 
     def run(batches):
         for batch in batches:
-            keep, held = [], {}
-            columns = [c.to_pylist() for c in batch.columns[2:]]
-            for x, y in zip(*columns):
-                for text in (x, y):
-                    if text not in held:
-                        held[text] = shingle_set(text, n, memo)
-                a, b = held[x], held[y]
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                a, b = stored_set(x), stored_set(y)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(100 * both >= percent * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
@@ -210,11 +237,11 @@ def _verified(n: int, percent: int):
 
 
 class _Join:
-    """The steps of the join over texts of which each has a set of its own."""
+    """The steps of the join over different sets."""
 
-    def __init__(self, n: int, percent: int, texts: DataFrame):
-        self.n, self.percent, self.texts, self.limit = n, percent, texts, Threshold(percent)
-        self.kind = texts.schema["id"].dataType.simpleString()
+    def __init__(self, percent: int, sets: DataFrame):
+        self.percent, self.sets, self.limit = percent, sets, Threshold(percent)
+        self.kind = sets.schema["id"].dataType.simpleString()
         self.facts = cut_lineage(self._facts(), "facts")
 
     def _facts(self) -> DataFrame:
@@ -224,24 +251,24 @@ class _Join:
         sets have more than half of that, the pair is none: only a light set with another needs a look. Changed copies
         of one text that are not similar enough to each other are heavy, however many there are.
         """
-        unique = _unique(self.texts.select("id", "text").mapInArrow(_per_text(self.n, _tokens), f"token long, id {self.kind}"))
-        sizes = self.texts.select("id", "n", F.expr(f"n * {100 - self.percent} div {self.percent}").alias("differing"))
+        unique = _unique(self.sets.select("id", "tokens").mapInArrow(_per_set(_tokens), f"token long, id {self.kind}"))
+        sizes = self.sets.select("id", "n", F.expr(f"n * {100 - self.percent} div {self.percent}").alias("differing"))
         facts = sizes.join(unique, "id", "left").withColumn("unique", F.coalesce("unique", F.lit(0)))
         return facts.where(F.expr(f"unique <= n * {100 - self.percent} div 100")).withColumn("light", F.col("unique") * 2 <= F.col("differing"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar enough, by their whole sets.
 
-        Texts move only for pairs that the parities of both sets, a small part of a text's size, leave possible.
+        Sets move only for pairs that the parities of both sets, a small part of a set's size, leave possible.
         """
 
         def side(name: str, *columns: str) -> DataFrame:
-            return self.texts.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
+            return self.sets.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
         facts = cut_lineage(pairs, "pairs").join(side("a", "n", "odd"), "a").join(side("b", "n", "odd"), "b")
         possible = facts.select("a", "b", "n_a", "n_b", "odd_a", "odd_b").mapInArrow(_possible(self.percent), f"a {self.kind}, b {self.kind}")
-        both = cut_lineage(possible, "possible").join(side("a", "text"), "a").join(side("b", "text"), "b").select("a", "b", "text_a", "text_b")
-        return cut_lineage(both.mapInArrow(_verified(self.n, self.percent), f"a {self.kind}, b {self.kind}"), "links")
+        both = cut_lineage(possible, "possible").join(side("a", "tokens"), "a").join(side("b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b")
+        return cut_lineage(both.mapInArrow(_verified(self.percent), f"a {self.kind}, b {self.kind}"), "links")
 
     def frequent(self) -> np.ndarray:
         """Tokens of the frequent class: in more than FREQUENT prefixes of one and a half times the plain length."""
@@ -251,7 +278,7 @@ class _Join:
             tokens, times = np.unique(np.concatenate([s[: limit.missing(len(s)) * 3 // 2 + 2] for s in sets] or [np.empty(0, np.uint64)]), return_counts=True)
             return _batch({"token": tokens, "times": times.astype(np.int64)})
 
-        counts = self.texts.select("id", "text").mapInArrow(_per_text(self.n, make), "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
+        counts = self.sets.select("id", "tokens").mapInArrow(_per_set(make), "token long, times long").groupBy("token").agg(F.sum("times").alias("times"))
         top = counts.where(F.col("times") > FREQUENT).orderBy(F.desc("times"), "token").limit(MOST_FREQUENT)
         return np.sort(np.array([r["token"] for r in top.collect()], np.int64).view(np.uint64))
 
@@ -261,13 +288,13 @@ class _Join:
         The leader is the set that meets the most others in all its signatures: where copies of one text were
         changed here and there, that is the text itself or what is nearest to it.
         """
-        limit, held = self.limit, self.texts.sparkSession.sparkContext.broadcast(self.frequent())
+        limit, held = self.limit, self.sets.sparkSession.sparkContext.broadcast(self.frequent())
 
         def make(ids, sets):
             sigs, owners = _flat(ids, [np.unique(signatures(s, held.value, limit)) for s in sets])
             return _batch({"sig": sigs, "id": owners})
 
-        every = self.texts.select("id", "text").mapInArrow(_per_text(self.n, make), f"sig long, id {self.kind}")
+        every = self.sets.select("id", "tokens").mapInArrow(_per_set(make), f"sig long, id {self.kind}")
         every = cut_lineage(every.join(self.facts.select("id"), "id", "left_semi"), "signatures")
         shared = cut_lineage(every.groupBy("sig").count().where("count > 1"), "shared-signatures")
         return cut_lineage(every.join(shared, "sig"), "postings")
@@ -275,31 +302,36 @@ class _Join:
     def links(self) -> DataFrame:
         """Links enough to connect all that are connected by similarity.
 
-        First every set is compared with one leader, twice; then sets of different components that share a
-        signature are compared with one another. What is connected already needs no further link, so that a group of
+        First every set is compared with leaders of its signatures, one in each round (see ``LEADER_ROUNDS``). Of the sets of different components that still share a
+        signature, those are compared whose differences from a common leader share a token of their prefixes
+        (see ``open_pairs``). What is connected already needs no further link, so that a group of
         copies of any size takes a number of comparisons in proportion to it.
         """
         postings = self.postings()
         weights = cut_lineage(postings.groupBy("id").agg(F.sum("count").alias("weight")).join(self.facts, "id"), "weights")
-        rank = F.struct(F.col("weight"), F.col("id"), F.col("unique"), F.col("differing"))
-        found = None
-        for _ in range(2):
-            still = postings.select("sig", "id") if found is None else self._open(postings, found).select("sig", "id")
-            weighed = cut_lineage(still.join(weights, "id"), "weighed")
-            leaders = cut_lineage(weighed.where("light").groupBy("sig").agg(F.max(rank).alias("lead")), "leaders")
+        rank = F.struct("weight", "id", "unique", "differing", "label")
+        # What has fewest unique tokens leaves most room for links with it.
+        near = F.struct((-F.col("unique")).alias("few"), "weight", "id", "unique", "differing", "label")
+        found = tried = None
+        for shift in LEADER_ROUNDS:
+            still = postings.select("sig", "id", F.col("id").alias("label")) if found is None else self._open(postings, found).select("sig", "id", "label")
+            weighed = cut_lineage(still.join(weights, "id").withColumn("cls", size_class(F.col("n"), self.percent, shift)), "weighed")
+            leaders = cut_lineage(weighed.where("light").groupBy("sig", "cls").agg(F.max(rank if shift is None else near).alias("lead")), "leaders")
             room = F.least("differing", "lead.differing") >= F.col("unique") + F.col("lead.unique")
-            pairs = weighed.join(leaders, "sig").where(room & (F.col("id") != F.col("lead.id"))).select("id", F.col("lead.id").alias("lead"))
-            best = pairs.groupBy("id", "lead").count().groupBy("id").agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
+            pairs = weighed.join(leaders, ["sig", "cls"]).where(room & (F.col("label") != F.col("lead.label"))).select("id", F.col("lead.id").alias("lead"))
+            counts = pairs.groupBy("id", "lead").count()
+            if tried is not None:
+                counts = counts.join(tried, ["id", "lead"], "left_anti")
+            best = cut_lineage(counts.groupBy("id").agg(F.max_by("lead", F.struct("count", "lead")).alias("lead")), "best-leaders")
+            tried = best if tried is None else tried.unionByName(best)
             more = self.verify(best.select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct())
             found = more if found is None else found.unionByName(more)
-        left = cut_lineage(self._open(postings, found), "open-postings")
-        side = lambda s: [F.col("sig")] + [F.col(c).alias(c + s) for c in ("id", "label", "n", "unique", "differing", "light")]
-        one, two = left.where("light").select(side("_a")), left.select(side("_b"))
-        fits = (F.col("n_a") * 100 >= F.col("n_b") * self.percent) & (F.col("n_b") * 100 >= F.col("n_a") * self.percent)
-        room = F.least("differing_a", "differing_b") >= F.col("unique_a") + F.col("unique_b")
-        once = (F.col("id_a") < F.col("id_b")) | ~F.col("light_b")
-        rest = one.join(two, "sig").where(fits & room & once & (F.col("label_a") != F.col("label_b")))
-        return found.unionByName(self.verify(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()))
+        left = cut_lineage(self._open(postings, found).select("sig", "id", "label"), "open-postings")
+        near, pairs = open_pairs(left, weights.select("id", "weight"), self.sets, self.percent)
+        side = lambda s: weights.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("unique", "differing", "light")])
+        room = (F.least("differing_a", "differing_b") >= F.col("unique_a") + F.col("unique_b")) & (F.col("light_a") | F.col("light_b"))
+        rest = pairs.join(side("a"), "a").join(side("b"), "b").where(room).select("a", "b")
+        return found.unionByName(near).unionByName(self.verify(rest))
 
     def _open(self, postings: DataFrame, links: DataFrame) -> DataFrame:
         """Postings of signatures that sets of several components share, with size and component."""
@@ -336,7 +368,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     candidates = sizes.where("id is not null and n > 0").join(unique, "id", "left").where(F.coalesce("unique", F.lit(0)) <= missing)
     candidates = cut_lineage(candidates.select("id").distinct(), "candidates")
 
-    # Of equal sets one leads; only texts of leaders move.
+    # Of equal sets one leads; only texts of leaders move, once, and become stored sets.
     sets = cut_lineage(sizes.where("id is not null and n > 0").join(candidates, "id").select("id", "h1", "h2").distinct(), "sets")
     firsts = cut_lineage(sets.groupBy("h1", "h2").agg(F.min("id").alias("first")), "firsts")
     copies = cut_lineage(sets.join(firsts, ["h1", "h2"]).select("id", "first").distinct(), "copies")
@@ -348,9 +380,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str
     bits = leaders.groupBy(place.alias("place")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
     maybe = named.withColumn("place", place).join(F.broadcast(bits), "place").where(F.call_function("shiftright", "bits", bit).bitwiseAND(1) == 1)
     wanted = maybe.select("id", "text").join(leaders, "id").select("id", "text", "h1", "h2")
-    texts = cut_lineage(wanted.mapInArrow(_leading_texts(n), f"id {kind}, n long, odd binary, text string"), "texts")
+    leading = cut_lineage(wanted.mapInArrow(_leading_sets(n), f"id {kind}, n long, odd binary, tokens binary"), "leading-sets")
 
-    between = _Join(n, percent, texts).links()
+    between = _Join(percent, leading).links()
     same = copies.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
     labels = connected_components(between.unionByName(same)).withColumnRenamed("node", "id")
     out = sizes.join(labels, "id", "left")
