@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.llm import language_model
+from riskspark.llm import conversations, language_model, odd_sketches
 from riskspark.llm.decontaminate import decontaminate
 from riskspark.llm.exact_dedup import exact_dedup
+from riskspark.llm.hard_negatives import hard_negatives
 from riskspark.llm.jaccard_join import near_duplicates
 from riskspark.llm.language_id import fit, identify
 from riskspark.llm.line_dedup import line_dedup
@@ -115,7 +116,45 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score(docs, language_model.fit(docs)).withColumnRenamed("id", "doc_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    out = conversations.repair(conversations.damage(turns), turns.select(F.col("conv_id").alias("conv")))
+    return out.withColumnRenamed("conv", "conv_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"), anchor_every=50, positives=5, negatives=3, low_percent=50, high_percent=95)
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         [FLOOR(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND LEN([x FOR x IN embedding IF x IS NULL OR NOT ISFINITE(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(LIST_INNER_PRODUCT(a.q, r.q) AS BIGINT) AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND r.vec_id IS DISTINCT FROM a.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+mined AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         CAST(ROW_NUMBER() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 3"""
+
+
+def op13_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketches.near_duplicates(table(spark, sf_dir, "documents"), n=4, percent=80).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_token_counts, op3_decontamination, op4_exact_dedup, op5_warc, op6_packing, op7_jaccard_join, op8_sharding, op9_language_id, op10_lm_scoring)
-}
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL}
+    f.__name__: f
+    for f in (
+        op1_line_dedup, op2_token_counts, op3_decontamination, op4_exact_dedup, op5_warc, op6_packing, op7_jaccard_join, op8_sharding,
+        op9_language_id, op10_lm_scoring, op11_conversation_repair, op12_hard_negatives, op13_minhash_odd_sketch,
+    )
+}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op12_hard_negatives": OP12_SQL}
