@@ -218,3 +218,23 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score"])
 
     return rows.mapInArrow(predicted, f"id {rows.schema['id'].dataType.simpleString()}, lang_pred string, score double")
+
+
+def in_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The whole rows whose text is in a language of the model, stored: all but those that ``identify`` calls ``und``.
+
+    Rows are predicted and filtered in one pass without a shuffle. A task forgets its words when it ends, and the model leaves
+    the workers once the rows are stored, so that later stages find their memory free.
+    """
+    bounded_batches(docs.sparkSession)
+    held, text_at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def kept(batches):
+        predictor = Predictor(held.value)
+        for batch in batches:
+            known = [lang != UNKNOWN for block in _blocks(batch.column(text_at).to_pylist()) for lang, _ in predictor.predict(block)]
+            yield batch.filter(pa.array(known, pa.bool_()))
+
+    stored = cut_lineage(docs.mapInArrow(kept, docs.schema), "in-language")
+    held.destroy()
+    return stored
