@@ -5,52 +5,58 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskspark.operators.metrics import BETA, GRID_EVALUATE, evaluate
 from riskspark.operators.scenarios import SCENARIOS
 from riskspark.operators.stats import FeatureStats
 from riskspark.plans.contract import project_contract
 from riskspark.plans.features import features_offline
-from riskspark.plans.training import positive_probability
+from riskspark.plans.training import score_models
+from riskspark.plans.trees import TreeModel
 
 
 @dataclass
 class ModelVariant:
-    """A configured model: a fitted pipeline, or the path of a saved one."""
+    """A configured model: a fitted one, or the path of a saved one."""
 
     name: str
     role: str
-    model: PipelineModel | str
+    model: TreeModel | str
     feature_cols: list[str]
 
-    def load(self) -> PipelineModel:
-        return PipelineModel.load(self.model) if isinstance(self.model, str) else self.model
+    def load(self, spark: SparkSession | None = None) -> TreeModel:
+        if isinstance(self.model, str):
+            return TreeModel.load(spark or SparkSession.active(), self.model)
+        return self.model
 
 
 def score_batch(features: DataFrame, variants: list[ModelVariant], key: str = "docno") -> DataFrame:
     """(key, model, role, score, error), one row per input row and model.
 
-    The columns are those of the first model's contract, for all models. The
-    models run one after the other over a single scan; one that cannot be
-    loaded or applied yields its error instead of a score.
+    The columns are those of the first model's contract, for all models. All models score in one pass. One that cannot be
+    loaded, or lacks a column, yields its error instead of a score for all rows; one that fails on some rows yields
+    its error for the batch that holds them, and the other models go on.
     """
     contract = variants[0].feature_cols
     keyed = features.withColumn("_key", F.col(key))
     rows = project_contract(keyed, contract, keep=["_key"]).drop("missing_features")
-    cells = []
-    for i, variant in enumerate(variants):
+    loaded, cells = [], []
+    for variant in variants:
         score, error = F.lit(None).cast("double"), F.lit(None).cast("string")
         try:
-            rows = positive_probability(variant.load(), rows, f"_score_{i}")
-            score = F.col(f"_score_{i}")
+            model = variant.load(features.sparkSession)
+            if absent := [n for n in model.features if n not in rows.columns]:
+                raise LookupError(f"missing columns: {', '.join(absent)}")
+            score, error = F.col(f"_score_{len(loaded)}"), F.col(f"_error_{len(loaded)}")
+            loaded.append(model)
         except Exception as problem:  # isolation of one model's failure is the contract
-            error = F.lit(str(problem).splitlines()[0][:500])
+            error = F.lit((str(problem).splitlines() or [type(problem).__name__])[0][:500])
         cells.append(
             F.struct(F.lit(variant.name).alias("model"), F.lit(variant.role).alias("role"), score.alias("score"), error.alias("error"))
         )
-    return rows.select(F.col("_key").alias(key), F.inline(F.array(*cells)))
+    scored = score_models(rows, loaded, ["_key"]) if loaded else rows
+    return scored.select(F.col("_key").alias(key), F.inline(F.array(*cells)))
 
 
 def stress_frames(test: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskspark import schemas
 from riskspark.functions import numeric as num
-from riskspark.operators import ranking, stats
+from riskspark.operators import ranking, snapshots, stats
 from riskspark.operators.asof import asof_join
 from riskspark.operators.quantiles import exact_quantiles, long_metric, order_statistics
 from riskspark.plans import catalogue, contract, features
@@ -180,6 +180,22 @@ def _(i):
     return stats.rare_values(i.train, "last_phone_model_categorical", 250)
 
 
+def merged_snapshot(i):
+    """Three snapshots of disjoint rows, merged one after the other."""
+    parts = [snapshots.StatsSnapshot.of(i.tx.where(f"docno % 3 = {k}"), i.behaviour.where(f"cst_dim_id % 3 = {k}")).stored() for k in range(3)]
+    return i._once("merged_snapshot", lambda: parts[0].merge(parts[1]).stored().merge(parts[2]).stored())
+
+
+@query("A1_merged_customers", W_ON + f"SELECT cst_dim_id, {CUST_SQL} FROM on_cust")
+def _(i):
+    return merged_snapshot(i).customer_table()
+
+
+@query("A3_merged_amount_stats", W_ON + "SELECT " + ", ".join(f"{sig(n)} AS {n}" for n in AMOUNT_NAMES) + " FROM on_stats")
+def _(i):
+    return _scalars(i, merged_snapshot(i).fit().scalars, AMOUNT_NAMES)
+
+
 @query("A9_fit_feature_stats", W_OFF + f"SELECT {STATS_SQL} FROM off_stats")
 def _(i):
     return _scalars(i, stats.fit_offline(i.train).scalars, STAT_NAMES)

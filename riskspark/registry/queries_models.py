@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import functools
+import itertools
 
 from pyspark.sql import functions as F
 
 from riskspark import schemas
 from riskspark.operators import anomaly, decision, metrics, oversample, ranking, sampling, scenarios
 from riskspark.operators.knn import as_points, knn_join
-from riskspark.plans import contract, scoring, training
+from riskspark.operators.target_means import mean_column, ordered_target_means
+from riskspark.plans import contract, scoring, training, trees
 from riskspark.registry.core import Inputs, query
 from riskspark.registry.features_sql import SPLIT, TEXT_FEATURES, WITH_OFFLINE
 from riskspark.registry.sqlparts import BEH, MERGED, PRED, TX, sig, with_
-from riskspark.session import scratch_path
+from riskspark.session import cut_lineage, scratch_path
 from riskspark.sources import csv, fixtures
 from riskspark.streaming import score_stream as streaming
 
@@ -415,28 +417,30 @@ def _(i):
 
 # --- training and scoring -------------------------------------------------------------------------------------
 
+_ORDERED = ["direction", "last_phone_model_categorical", "last_os_categorical"]
+
 # At most so many rounds, fewer than the stored set-ups, for turnaround; the parameter is the caller's.
 TREES = 20
 
 
 def _kinds(i: Inputs):
-    return contract.prepare_matrices(i.train_features)
+    return contract.prepare_matrices(i.model_frames[0])
 
 
 def model(i: Inputs, which: str):
     def fit():
         train, numeric, text = _kinds(i)
         if which == "balanced":
-            return training.train_balanced(train, numeric, text, maxIter=TREES)
+            return training.train_balanced(train, numeric, text, rounds=TREES)
         if which == "numeric":
-            return training.train_numeric(train, numeric, maxIter=TREES)
-        return training.train_weighted(train, numeric, text, maxIter=TREES)
+            return training.train_numeric(train, numeric, rounds=TREES)
+        return training.train_weighted(train, numeric, text, rounds=TREES)
 
     return i._once(f"model_{which}", fit)
 
 
 def _trained(which: str, i: Inputs):
-    test, _, _ = contract.prepare_matrices(i.test_features)
+    test, _, _ = contract.prepare_matrices(i.model_frames[1])
     return training.positive_probability(model(i, which), test).select("docno", "target", "y_proba")
 
 
@@ -454,7 +458,7 @@ def variants(i: Inputs) -> list[scoring.ModelVariant]:
 @query("T5_score_batch")
 def _(i):
     broken = scoring.ModelVariant("fraud_missing", "shadow", scratch_path(i.spark, "no-such-model"), schemas.FEATURE_COLUMNS)
-    scored = scoring.score_batch(i.test_features, [*variants(i), broken])
+    scored = scoring.score_batch(i.model_frames[1], [*variants(i), broken])
     return scored.select("docno", "model", "role", "score", F.col("error").isNotNull().cast("int").alias("failed"))
 
 
@@ -465,22 +469,69 @@ def _(i):
 
 @query("T9_permutation_importance")
 def _(i):
-    test, numeric, text = contract.prepare_matrices(i.test_features)
+    test, numeric, text = contract.prepare_matrices(i.model_frames[1])
     lost = training.permutation_importance(model(i, "balanced"), test, [*numeric, *text])
     return ranking.top_attributions(lost)
 
 
+def trained_scores(i: Inputs):
+    """(model, y_true, y_proba) of the three trained models and the blend of the first two, side by side on every test row."""
+    test, _, _ = contract.prepare_matrices(i.model_frames[1])
+    names = ["balanced", "numeric", "weighted"]
+    scored = training.score_models(test, [model(i, n) for n in names], ["target"])
+    cells = [F.struct(F.lit(n).alias("model"), F.col(f"_score_{k}").alias("y_proba")) for k, n in enumerate(names)]
+    cells.append(F.struct(F.lit("ensemble").alias("model"), decision.ensemble_score(F.col("_score_0"), F.col("_score_1")).alias("y_proba")))
+    return scored.select(F.col("target").alias("y_true"), F.inline(F.array(*cells)))
+
+
+@query("T10_trained_champion")
+def _(i):
+    """Models by F-beta on the test rows, best first; the first one is the champion."""
+    return ranking.rank_models(metrics.evaluate(trained_scores(i), BY), "Fbeta")
+
+
+@query("T9_row_attributions")
+def _(i):
+    test, _, _ = contract.prepare_matrices(i.model_frames[1])
+    parts = trees.attributions(model(i, "balanced"), test, "docno")
+    names = F.array(*[F.lit(n) for n in model(i, "balanced").features])
+    return parts.select("docno", F.inline(F.arrays_zip(names.alias("feature"), F.col("values").alias("value"))))
+
+
+@query("W4_model_attributions")
+def _(i):
+    test, _, _ = contract.prepare_matrices(i.model_frames[1])
+    means = trees.mean_attributions(model(i, "balanced"), test, "docno")
+    return means.orderBy(F.col("mean_abs").desc(), "feature").limit(25)
+
+
+@query(
+    "T1_ordered_means",
+    with_(TX, BEH, MERGED)
+    + f"""SELECT docno, {", ".join(
+        sig(f"(coalesce(sum(target) OVER {w}, 0) + 1.0::DOUBLE) / (coalesce(count(*) OVER {w}, 0) + 10)") + f" AS {c}__mean"
+        for c in _ORDERED for w in [f"(PARTITION BY {c} ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"]
+    )} FROM (SELECT *, {_HASH.format(t="docno || '|42'")} AS h FROM mg)""",
+)
+def _(i):
+    rows = i.merged.select("docno", "target", *_ORDERED)
+    means = ordered_target_means(rows, _ORDERED, "target", "docno", prior=0.1, block_rows=500)
+    return means.select("docno", *[mean_column(c) for c in _ORDERED])
+
+
 @query("X4_stress_suite")
 def _(i):
-    return scoring.stress_suite(i.test, i.offline_stats, variants(i))
+    return scoring.stress_suite(i.test, i.offline_stats, variants(i), add_scores=i.with_anomaly_scores)
 
 
 # --- streaming -----------------------------------------------------------------------------------------------------
 
 
-def _versions(i: Inputs):
-    """Two versions of one configuration; the newest does not validate."""
-    rows = [("risk", "v1", 1, True, True, "0.4;0.7"), ("risk", "v2", 2, False, False, "broken")]
+def _versions(i: Inputs, batch: int):
+    """Versions of one configuration as the stream goes on: v2 appears with the third batch, then one that does not validate."""
+    rows = [("risk", "v1", 1, True, True, "0.4;0.7")]
+    rows += [("risk", "v2", 2, True, True, "0.3;0.6")] if batch >= 2 else []
+    rows += [("risk", "v3", 3, False, False, "broken")] if batch >= 3 else []
     return i.spark.createDataFrame(rows, "key string, version_id string, last_modified int, stable boolean, valid boolean, body string")
 
 
@@ -489,16 +540,33 @@ def _bundle(i: Inputs, version: str, body: str) -> streaming.Bundle:
     return streaming.Bundle(version, i.online_stats, variants(i), low, high)
 
 
+#: Rows as they arrive, with the part of the stream: one third comes late, behind rows of all later dates. Every ninth row has no
+#: amount, all others arrive twice, and every fifth document number comes again with another amount.
+ARRIVALS = """arr AS (
+  SELECT cst_dim_id, docno, CASE WHEN docno % 9 <> 0 THEN amount END AS amount, CASE WHEN docno % 3 = 0 THEN 'v2' ELSE 'v1' END AS part, 0 AS second FROM tx
+  UNION ALL SELECT cst_dim_id, docno, amount + 1, 'v2', 1 FROM tx WHERE docno % 5 = 0 AND docno % 9 <> 0)"""
+_GOOD = "cst_dim_id <> 0 AND docno <> 0 AND amount IS NOT NULL AND amount <> 0"
+
+
+def arrivals(i: Inputs):
+    """The rows of ARRIVALS, ``part`` telling which come first."""
+    first = i.tx.withColumn("amount", F.when(F.col("docno") % 9 != 0, F.col("amount"))).withColumn("part", F.when(F.col("docno") % 3 == 0, "v2").otherwise("v1"))
+    again = i.tx.where("docno % 5 = 0 AND docno % 9 <> 0").withColumns({"amount": (F.col("amount") + 1).cast("decimal(18,2)"), "part": F.lit("v2")})
+    return first.unionByName(first.where("amount IS NOT NULL")).unionByName(again)
+
+
 def run_stream(i: Inputs) -> tuple[str, str]:
-    """Write the transactions by date, every ninth without an amount and the rest twice, and score the files as a stream."""
+    """Write the arriving rows in two parts of two files, and score the files as a stream, a file for each batch."""
 
     def run() -> tuple[str, str]:
         source, out, rejects, marks = (scratch_path(i.spark, n) for n in ("stream-in", "stream-out", "stream-rejects", "stream-marks"))
-        broken = i.tx.withColumn("amount", F.when(F.col("docno") % 9 != 0, F.col("amount")))
-        broken.unionByName(broken.where("amount IS NOT NULL")).repartition(4, "transdate").write.parquet(source)
-        swap = streaming.HotSwap(lambda: _versions(i), functools.partial(_bundle, i), "risk")
+        rows = cut_lineage(arrivals(i), "arrivals")
+        for part in ("v1", "v2"):
+            rows.where(F.col("part") == part).drop("part").repartition(2).write.mode("append").parquet(source)
+        batches = itertools.count()
+        swap = streaming.HotSwap(lambda: _versions(i, next(batches)), functools.partial(_bundle, i), "risk")
         stream = streaming.read_transactions(i.spark, source, files_per_trigger=1)
-        streaming.score_stream(stream, lambda: i.behaviour, swap, out, rejects, marks, delay="60 days").awaitTermination()
+        streaming.score_stream(stream, lambda: i.behaviour, swap, out, rejects, marks).awaitTermination()
         return out, rejects
 
     return i._once("stream", run)
@@ -507,10 +575,18 @@ def run_stream(i: Inputs) -> tuple[str, str]:
 @query("R1_score_stream")
 def _(i):
     out, _ = run_stream(i)
-    return streaming.final_decisions(i.spark, out).select("docno", "model", "score", "decision", "config_version")
+    return streaming.final_decisions(i.spark, out).select("docno", "model", "score", "decision", "config_version", "request")
+
+
+@query("R1_answered_rows", with_(TX, ARRIVALS) + f"SELECT count(*) AS arrived, count(*) AS answered FROM (SELECT unnest(range(CASE WHEN amount IS NULL OR second = 1 THEN 1 ELSE 2 END)) FROM arr)")
+def _(i):
+    """Rows in equal decisions plus rejects: late rows, repeats and second rows of a document number included."""
+    out, rejects = run_stream(i)
+    answered = i.spark.read.parquet(out).where("role = 'decision'").select("docno").unionByName(i.spark.read.parquet(rejects).select("docno"))
+    return arrivals(i).agg(F.count("*").alias("arrived")).crossJoin(answered.agg(F.count("*").alias("answered")))
 
 
-@query("R2_config_hot_swap", with_(TX) + "SELECT 'v1' AS config_version, count(*) AS n FROM tx WHERE docno % 9 <> 0 AND docno <> 0 AND amount <> 0 AND cst_dim_id <> 0")
+@query("R2_config_hot_swap", with_(TX, ARRIVALS) + f"SELECT part AS config_version, count(*) AS n FROM arr WHERE {_GOOD} GROUP BY part")
 def _(i):
     out, _ = run_stream(i)
     return streaming.final_decisions(i.spark, out).groupBy("config_version").agg(F.count("*").alias("n"))
@@ -518,9 +594,9 @@ def _(i):
 
 @query(
     "R3_reject_sink",
-    with_(TX)
-    + """SELECT docno, concat_ws(',', CASE WHEN cst_dim_id = 0 THEN 'cst_dim_id' END, CASE WHEN docno % 9 = 0 OR amount = 0 THEN 'amount' END,
-    CASE WHEN docno = 0 THEN 'docno' END) AS reasons FROM tx WHERE docno % 9 = 0 OR amount = 0 OR cst_dim_id = 0 OR docno = 0""",
+    with_(TX, ARRIVALS)
+    + f"""SELECT docno, concat_ws(',', CASE WHEN cst_dim_id = 0 THEN 'cst_dim_id' END, CASE WHEN amount IS NULL OR amount = 0 THEN 'amount' END,
+    CASE WHEN docno = 0 THEN 'docno' END) AS reasons FROM (SELECT *, unnest(range(CASE WHEN amount IS NULL OR second = 1 THEN 1 ELSE 2 END)) FROM arr) WHERE NOT coalesce({_GOOD}, false)""",
 )
 def _(i):
     _, rejects = run_stream(i)

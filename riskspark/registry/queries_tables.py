@@ -55,7 +55,7 @@ def _(i):
 
 @query("E2_drop_subheader", f"WITH {_MESSY} SELECT {_RAW_COLS} FROM mx")
 def _(i):
-    return csv.drop_subheader(csv.read_raw_csv(i.spark, export(i)))
+    return csv.drop_subheader(csv.read_raw_csv(i.spark, export(i), "_number"), number="_number")
 
 
 @query("E3_clean_id", f"WITH {_MESSY} SELECT cst_dim_id AS raw, c_custkey AS cleaned FROM mx")

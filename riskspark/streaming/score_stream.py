@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -65,46 +65,47 @@ def read_transactions(spark: SparkSession, path: str, schema: StructType = schem
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def deduplicated(stream: DataFrame, delay: str | None = "7 days") -> DataFrame:
-    """Drop repeated documents that arrive within ``delay`` of each other.
+def request_key(columns: list[str]) -> Column:
+    """A hash of a whole row: only a repeat that is equal in every column has the same one."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), {"ignoreNullFields": "false"}))
 
-    The watermark also ends the wait for late rows: choose a delay longer than
-    any lateness that must still be scored, or None to keep every row. Rows
-    without a document number are told apart by their content, and rows without
-    a time count as arriving now, so that both reach the reject sink.
+
+def deduplicated(stream: DataFrame, delay: str | None = None) -> DataFrame:
+    """The stream itself: every row is answered, late rows and repeats included.
+
+    With ``delay`` repeats of a whole row that arrive within that time of each other are answered once. The state this takes is
+    bounded by a watermark, which also drops rows that are later than ``delay``: set it only where such rows need no
+    answer. Rows without a time count as arriving now.
     """
     if delay is None:
         return stream
-    content = F.concat(F.lit("row:"), F.xxhash64(*stream.columns).cast("string"))
     timed = stream.withColumns(
-        {
-            "event_time": F.coalesce(F.col("transdatetime").cast("timestamp"), F.current_timestamp()),
-            "document": F.coalesce(F.col("docno").cast("string"), content),
-        }
+        {"event_time": F.coalesce(F.col("transdatetime").cast("timestamp"), F.current_timestamp()), "request": request_key(stream.columns)}
     )
-    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["document"]).drop("event_time", "document")
+    return timed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["request"]).drop("event_time", "request")
 
 
 def score_transactions(batch: DataFrame, behaviour: DataFrame, bundle: Bundle) -> tuple[DataFrame, DataFrame]:
     """(decisions, rejects) of one batch: validate, enrich, build features, score, route.
 
-    The big tables are first cut to the customers of the batch, so that a small
+    Both carry ``request``, the row's own hash: several rows may have one document number. Every row of the batch is in one
+    of them, as often as it came. The big tables are first cut to the customers of the batch, so that a small
     batch never shuffles them.
     """
-    valid, rejected = validate_requests(batch, REQUIRED)
+    valid, rejected = validate_requests(batch.withColumn("request", request_key(batch.columns)), REQUIRED)
     customers = valid.select("cst_dim_id").distinct()
     if customers.count() <= BROADCAST_CUSTOMERS:
         customers = F.broadcast(customers)
     stats = replace(bundle.stats, customers=bundle.stats.customers.join(customers, "cst_dim_id", "left_semi"))
-    features = features_online(valid, behaviour.join(customers, "cst_dim_id", "left_semi"), stats)
-    scored = score_batch(features, bundle.variants)
+    features = features_online(valid, behaviour.join(customers, "cst_dim_id", "left_semi"), stats, keep=["request"])
+    scored = score_batch(features.withColumn("_who", F.struct("docno", "request")), bundle.variants, "_who").select("_who.*", "model", "role", "score", "error")
     routed = scored.withColumn(
         "decision", F.when(F.col("role") == "decision", route_decision(F.col("score"), "threshold", bundle.low, bundle.high))
     ).withColumn("config_version", F.lit(bundle.version))
     return routed, rejected
 
 
-def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: HotSwap, out: str, rejects: str, checkpoint: str, once: bool = True, delay: str | None = "7 days") -> StreamingQuery:
+def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: HotSwap, out: str, rejects: str, checkpoint: str, once: bool = True, delay: str | None = None) -> StreamingQuery:
     """Start the scoring query.
 
     Each micro-batch overwrites its own ``batch_id=`` folder in both sinks, so a
@@ -125,5 +126,8 @@ def score_stream(stream: DataFrame, behaviour: Callable[[], DataFrame], swap: Ho
 
 
 def final_decisions(spark: SparkSession, out: str) -> DataFrame:
-    """The decision model's rows of everything written so far."""
-    return decision_scores(spark.read.parquet(out)).drop("batch_id")
+    """The decision model's answer to every request of everything written so far; a repeated request has its first answer."""
+    rows = decision_scores(spark.read.parquet(out))
+    rest = [n for n in rows.columns if n not in ("request", "batch_id")]
+    first = F.min_by(F.struct(*rest), F.col("batch_id"))
+    return rows.groupBy("request").agg(first.alias("r")).select("request", "r.*")

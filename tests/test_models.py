@@ -1,6 +1,4 @@
 import pytest
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from riskspark import schemas
@@ -20,28 +18,13 @@ def inputs(spark):
 
 
 def test_models_beat_chance(spark, inputs):
-    test, _, _ = contract.prepare_matrices(inputs.test_features)
+    test, _, _ = contract.prepare_matrices(inputs.model_frames[1])
     for which in ("balanced", "numeric"):
         scored = training.positive_probability(registered.model(inputs, which), test)
         auc = metrics.roc_auc(scored.select(F.lit(which).alias("model"), F.col("target").alias("y_true"), "y_proba"), ["model"]).first()["roc_auc"]
         assert auc > 0.6
 
 
-def test_every_allowed_round_is_tried(spark):
-    n = 2_000
-    df = spark.range(n).selectExpr("CAST(xxhash64(id) % 1000 AS DOUBLE) AS x", "CAST(xxhash64(id, 7) % 1000 AS DOUBLE) AS y")
-    noisy = df.selectExpr("x", "y", "CAST(x * y > 0 AND xxhash64(x, y) % 10 <> 0 AS DOUBLE) AS target", "1.0D AS w", "xxhash64(y, x, 3) % 4 = 0 AS held")
-    rows = cut_lineage(VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(noisy), "rounds")
-    learner = GBTClassifier(featuresCol="v", labelCol="target", weightCol="w", seed=42, maxIter=16, maxDepth=3, stepSize=0.4, subsamplingRate=0.9)
-    train, held = rows.where("not held"), rows.where("held")
-    model, losses = training.boost(learner, train, held, patience=4)
-    best = losses.index(min(losses)) + 1
-    assert len(losses) in (4, 8, 16) and (len(losses) == 16 or len(losses) - best >= 4)
-    assert model.getNumTrees == best > 1
-    # A fit of fewer rounds is the beginning of one of more, so the model kept is the best of those tried.
-    assert model.evaluateEachIteration(held) == pytest.approx(losses[:best])
-
-
 def test_validation_rows_come_from_train(inputs):
     assert inputs.train.join(inputs.test, "docno").count() == 0
 
@@ -54,9 +37,11 @@ def test_importances(spark, inputs):
 
 
 def test_permutation_of_unused_feature_loses_nothing(inputs):
-    test, numeric, text = contract.prepare_matrices(inputs.test_features)
-    lost = {r["feature"]: r["value"] for r in training.permutation_importance(registered.model(inputs, "balanced"), test, [*numeric, *text], rows=200).collect()}
-    assert lost["iforest_score"] == 0.0 and len(lost) == 77
+    model = registered.model(inputs, "balanced")
+    test, numeric, text = contract.prepare_matrices(inputs.model_frames[1])
+    lost = {r["feature"]: r["value"] for r in training.permutation_importance(model, test, [*numeric, *text], rows=200).collect()}
+    unused = [f for k, f in enumerate(model.features) if k not in set(model.trees.feature.ravel())]
+    assert unused and all(lost[f] == 0.0 for f in unused) and len(lost) == 77
 
 
 def test_failing_model_is_isolated(inputs):
@@ -86,9 +71,9 @@ def test_scenarios(spark):
 
 def test_stress_suite_base_equals_plain_evaluation(inputs):
     variant = registered.variants(inputs)[0]
-    suite = {r["scenario"]: r for r in scoring.stress_suite(inputs.test, inputs.offline_stats, [variant]).collect()}
+    suite = {r["scenario"]: r for r in scoring.stress_suite(inputs.test, inputs.offline_stats, [variant], add_scores=inputs.with_anomaly_scores).collect()}
     assert set(suite) == set(scenarios.SCENARIOS)
-    scored = training.positive_probability(variant.load(), inputs.test_features)
+    scored = training.positive_probability(variant.load(), inputs.model_frames[1])
     plain = metrics.evaluate(scored.select(F.lit(variant.name).alias("model"), F.lit("s").alias("scenario"), F.col("target").alias("y_true"), "y_proba")).first()
     base = suite["Base test set"]
     assert [base[n] for n in ("tn", "fp", "fn", "tp", "best_thr")] == [plain[n] for n in ("tn", "fp", "fn", "tp", "best_thr")]
@@ -96,16 +81,33 @@ def test_stress_suite_base_equals_plain_evaluation(inputs):
 
 
 def test_stream_equals_batch(spark, inputs):
+    """Late rows, repeats and second rows of a document number are all answered, by the version in force."""
     out, rejects = registered.run_stream(inputs)
-    streamed = {r["docno"]: (r["score"], r["decision"]) for r in streaming.final_decisions(spark, out).collect()}
-    valid = inputs.tx.where((F.col("docno") % 9 != 0) & (F.col("cst_dim_id") != 0) & (F.col("docno") != 0) & (F.col("amount") != 0))
-    bundle = registered._bundle(inputs, "v1", "0.4;0.7")
-    batch, bad = streaming.score_transactions(valid, inputs.behaviour, bundle)
-    expected = {r["docno"]: (r["score"], r["decision"]) for r in batch.where("role = 'decision'").collect()}
-    assert bad.count() == 0 and streamed.keys() == expected.keys()
-    for doc, (score, decision) in expected.items():
-        assert streamed[doc][0] == pytest.approx(score) and streamed[doc][1] == decision
-    assert spark.read.parquet(out).where("role = 'decision'").count() == len(streamed)  # repeats were dropped
+    rows = cut_lineage(registered.arrivals(inputs), "test-arrivals")
+    answered = spark.read.parquet(out).where("role = 'decision'")
+    assert answered.count() + spark.read.parquet(rejects).count() == rows.count()
+    streamed = {r["request"]: (r["score"], r["decision"], r["config_version"]) for r in streaming.final_decisions(spark, out).collect()}
+    assert answered.count() > len(streamed) > answered.select("docno").distinct().count()
+    seen = set()
+    for part, body in (("v1", "0.4;0.7"), ("v2", "0.3;0.6")):
+        mine = rows.where(F.col("part") == part).drop("part").distinct()
+        batch, _ = streaming.score_transactions(mine, inputs.behaviour, registered._bundle(inputs, part, body))
+        for r in batch.where("role = 'decision'").collect():
+            score, decision, version = streamed[r["request"]]
+            assert score == pytest.approx(r["score"]) and (decision, version) == (r["decision"], part)
+            seen.add(r["request"])
+    assert seen == streamed.keys()
+
+
+def test_repeats_within_a_delay_are_answered_once(spark, tmp_path):
+    rows = [(1, "2024-01-01", "2024-01-01 10:00:00", 5, "x"), (1, "2024-01-01", "2024-01-01 10:00:00", 6, "x")]
+    columns = "docno long, transdate string, transdatetime string, amount int, direction string"
+    spark.createDataFrame([*rows, rows[0]], columns).coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(columns).parquet(str(tmp_path / "in"))
+    query = streaming.deduplicated(stream, "1 day").writeStream.trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "out"), "parquet")
+    query.awaitTermination()
+    assert sorted(r["amount"] for r in spark.read.schema(columns).parquet(str(tmp_path / "out")).collect()) == [5, 6]
+    assert streaming.deduplicated(stream) is stream
 
 
 def test_hot_swap_keeps_the_previous_bundle(spark):
@@ -124,3 +126,27 @@ def test_hot_swap_keeps_the_previous_bundle(spark):
     empty = streaming.HotSwap(lambda: spark.createDataFrame([], schema), build, "k")
     with pytest.raises(LookupError):
         empty.bundle()
+
+
+def test_models_learn_from_anomaly_scores(inputs):
+    train, test = inputs.model_frames
+    for frame in (train, test):
+        assert all(frame.agg(F.countDistinct(n)).first()[0] > 50 for n in ("iforest_score", "lof_score"))
+    assert {"iforest_score", "lof_score"} <= set(registered.model(inputs, "balanced").features)
+
+
+def test_trained_models_are_ranked(spark):
+    from riskspark.registry import QUERIES
+
+    rows = {r["model"]: r for r in QUERIES["T10_trained_champion"](spark, SF).collect()}
+    assert set(rows) == {"balanced", "numeric", "weighted", "ensemble"} and all(r["roc_auc"] > 0.6 for r in rows.values())
+
+
+def test_top_attributions_come_from_the_model(spark, inputs):
+    from riskspark.registry import QUERIES
+
+    per_row = QUERIES["T9_row_attributions"](spark, SF)
+    want = {r["feature"]: r["m"] for r in per_row.groupBy("feature").agg(F.avg(F.abs("value")).alias("m")).collect()}
+    top = QUERIES["W4_model_attributions"](spark, SF).collect()
+    assert len(top) == 25 and all(r["mean_abs"] == pytest.approx(want[r["feature"]], rel=1e-5) for r in top)
+    assert min(r["mean_abs"] for r in top) >= max(v for n, v in want.items() if n not in {r["feature"] for r in top}) - 1e-9

@@ -37,8 +37,8 @@ def test_clean_id(spark):
 def test_convert(spark, tmp_path):
     raw = tmp_path / "raw.csv"
     raw.write_text('cst_dim_id,a,b,c\nID,A,B,C\n 1.0,"1,5",x,1\n2,2.0,y,oops\n3,,z,n/a\n4,7,4,n/a\n', encoding="utf-8")
-    rows = csv.drop_subheader(csv.read_raw_csv(spark, str(raw)))
-    assert [r["b"] for r in rows.collect()] == ["x", "y", "z", "4"]
+    rows = csv.drop_subheader(csv.read_raw_csv(spark, str(raw), "_number"), number="_number")
+    assert sorted(r["b"] for r in rows.collect()) == ["4", "x", "y", "z"]
     assert csv.detect_numeric_like(rows) == ["a"]  # c: 1 of 4 is not above 0.3
     csv.convert_raw(spark, str(raw), str(tmp_path / "clean"), is_subheader=F.col("cst_dim_id") == "ID")
     got = sorted(tuple(r) for r in csv.read_raw_csv(spark, str(tmp_path / "clean")).collect())
@@ -138,3 +138,28 @@ def test_load_table_binds_by_header(spark, tmp_path):
     path.write_text("docno,amount\n1,2\n")
     with pytest.raises(ValueError, match="cst_dim_id"):
         csv.load_table(spark, str(path), schemas.TRANSACTIONS)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 11, 16, 23, 40, 64, 1_000])
+def test_quoted_line_breaks_in_blocks_of_any_size(spark, tmp_path, size):
+    """Equal to Python's reader, wherever the file is cut."""
+    import csv as plain
+
+    texts = ['id,"na\nme",c\nx,"sub\r\nheader",\n1,"a\nb ""q"" \n\n c",\n\n2,,"é, ü"\r\n3,"""",plain\n', 'id,"na\nme",c\n4,"\n",last']
+    (tmp_path / "in").mkdir()
+    for i, text in enumerate(texts):
+        (tmp_path / "in" / f"{i}.csv").write_bytes(text.encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = csv.read_raw_csv(spark, str(tmp_path / "in"), "place")
+        got = sorted(tuple(r) for r in df.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = []
+    for file, text in enumerate(texts):
+        header, *rows = list(plain.reader(text.splitlines(keepends=True)))
+        assert header == df.columns[:-1]
+        want += [(*r, "" if file else str(n)) for n, r in enumerate((r for r in rows if r), 1)]
+    assert got == sorted(want)
