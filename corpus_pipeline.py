@@ -11,15 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from riskspark.llm.decontaminate import decontaminate
 from riskspark.llm.exact_dedup import exact_dedup
 from riskspark.llm.jaccard_join import near_duplicates
-from riskspark.llm.language_id import UNKNOWN, fit, identify
+from riskspark.llm.language_id import fit, in_known_language
 from riskspark.llm.packing import pack
 from riskspark.llm.queries import held_out, table, vocabulary_path
+from riskspark.llm.text import ascii_lower, row_key
 from riskspark.session import cut_lineage
 
-#: A text whose best language has less than this share of the evidence is in no language.
-LEAST_SCORE = 0.5
-
-
 def _fresh(docs: DataFrame, name: str) -> str:
     """A column name that the table does not have."""
     while name in docs.columns:
@@ -35,26 +32,37 @@ def _keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or without a clear language; nothing else is judged."""
-    found = identify(docs, fit(docs.where(~held_out())))
-    return _keep(docs, found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
+    """Drop documents that are in no language: a NULL text or one without a letter. Nothing else is judged, whatever the id.
+
+    If no document has a language label, nothing can be told and all documents go.
+    """
+    return in_known_language(docs, fit(docs.where(~held_out())))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest id stays; of repeated rows, one."""
-    same = _fresh(docs, "_same")
-    kept = _keep(docs, exact_dedup(docs).where("kept")).withColumn(same, F.sha2("text", 256))
-    return kept.dropDuplicates(["doc_id", same]).drop(same)
+    """Of equal texts (A-Z lower-cased, NULL as an empty one) one row with the largest id stays; NULL ids rank below all others."""
+    key = _fresh(docs, "_key")
+    kept = exact_dedup(docs).where("kept").select(row_key(F.col("id"), F.col("text_sha256")).alias(key))
+    norm = F.sha2(ascii_lower(F.coalesce("text", F.lit(""))), 256)
+    rows = docs.withColumn(key, row_key(F.col("doc_id"), norm)).join(kept, key, "left_semi")
+    # Rows that share their id and their text in lower case have one key.
+    return rows.dropDuplicates([key]).drop(key)
 
 
 def near_duplicate_groups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a similarity of 0.8 over five-word shingles the one with the smallest id stays."""
+    """Of documents connected by a similarity of 0.8 over five-word shingles the one with the smallest id stays.
+
+    Rows that share an id are one document. A NULL text or id is linked with nothing, so its row stays.
+    """
     return _keep(docs, near_duplicates(docs, n=5, percent=80).where("id <=> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a window of the benchmark."""
-    return _keep(docs, decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10).where("not contaminated"))
+    """Drop rows with a window of the benchmark, each judged by its own text, whatever its id; a NULL text has none."""
+    key = _fresh(docs, "_key")
+    rows = docs.withColumn(key, row_key(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+    found = decontaminate(rows, table(spark, sf_dir, "benchmark"), window=10, id_col=key)
+    return rows.join(found.where("contaminated").select(F.col("id").alias(key)), key, "left_anti").drop(key)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
