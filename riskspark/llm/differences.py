@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from riskspark.session import cut_lineage
 
 #: Classes of a set's excess over what a link allows: so many for each doubling, and for sets that are linked with their leader.
-CLASSES = 8
+CLASSES = 4
 _LINKED_BELOW = 50
 #: So many sets of a signature are paired without a look at their differences; more are not, whose result is the same.
 FEW = 16
@@ -63,26 +63,37 @@ def difference_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple
     facts = cut_lineage(facts, "difference-facts")
     links = facts.where(F.col("cls") < _LINKED_BELOW).select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
 
-    partners = facts.groupBy("lead", F.col("cls").alias("other")).agg(
+    classes = facts.groupBy("lead", F.col("cls").alias("other")).agg(
         F.min("e").alias("least"), F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("label").alias("l_low"), F.max("label").alias("l_high")
     )
-    sized = (F.col("n_high") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("n_low") * percent)
-    unlike = (F.col("l_low") != F.col("label")) | (F.col("l_high") != F.col("label"))
-    open_pair = (F.col("cls") >= _LINKED_BELOW) | (F.col("other") >= _LINKED_BELOW)
-    overlap = F.greatest(F.ceil((F.col("e") + F.col("least")) / F.lit(2.0 * (100 + percent)) - 1e-9), F.lit(1))
-    wanted = facts.join(partners, "lead").where(sized & unlike & open_pair).select("id", "lead", "label", "n", "nd", "cls", "other", (F.col("nd") - overlap + 1).alias("prefix"))
-    wanted = cut_lineage(wanted.where("prefix > 0"), "difference-wanted")
+    # One row for each leader: it has at most some dozens of classes, which double in width.
+    partners = cut_lineage(classes.groupBy("lead").agg(F.collect_list(F.struct("other", "least", "n_low", "n_high", "l_low", "l_high")).alias("partners")), "difference-classes")
+
+    def possible(p: Column) -> Column:
+        sized = (p["n_high"] * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= p["n_low"] * percent)
+        unlike = (p["l_low"] != F.col("label")) | (p["l_high"] != F.col("label"))
+        return sized & unlike & ((F.col("cls") >= _LINKED_BELOW) | (p["other"] >= _LINKED_BELOW))
+
+    def prefix_of(p: Column) -> Column:
+        overlap = F.greatest(F.ceil((F.col("e") + p["least"]) / F.lit(2.0 * (100 + percent)) - 1e-9), F.lit(1))
+        return F.struct(p["other"].alias("other"), (F.col("nd") - overlap + 1).alias("prefix"))
+
+    asked = F.filter(F.transform(F.filter("partners", possible), prefix_of), lambda p: p["prefix"] > 0)
+    wanted = facts.join(partners, "lead").select("id", "lead", "label", "n", "nd", "cls", asked.alias("asked")).where(F.size("asked") > 0)
+    wanted = cut_lineage(wanted, "difference-wanted")
 
     # Only sets that have a partner class are looked at further.
-    active = wanted.select("id", "lead").distinct()
+    active = wanted.select("id", "lead")
     tokens = found.join(active, ["id", "lead"]).select("id", "lead", F.explode("diff").alias("token"))
     tokens = cut_lineage(tokens, "difference-tokens")
     shared = tokens.groupBy("lead", "token").agg(F.count("*").alias("times")).where("times > 1")
     ranked = tokens.join(shared, ["lead", "token"])
     own = Window.partitionBy("lead", "id")
     ranked = ranked.select("id", "lead", "token", F.row_number().over(own.orderBy("times", "token")).alias("at"), F.count("*").over(own).alias("shared"))
-    prefix = ranked.join(wanted, ["id", "lead"]).where(F.col("nd") - F.col("shared") + F.col("at") <= F.col("prefix"))
-    prefix = cut_lineage(prefix.select("id", "lead", "token", "label", "n", "cls", "other"), "difference-prefixes")
+    placed = ranked.join(wanted, ["id", "lead"]).withColumn("at", F.col("nd") - F.col("shared") + F.col("at"))
+    inside = F.filter("asked", lambda p: p["prefix"] >= F.col("at"))
+    prefix = placed.select("id", "lead", "token", "label", "n", "cls", F.explode(F.transform(inside, lambda p: p["other"])).alias("other"))
+    prefix = cut_lineage(prefix, "difference-prefixes")
 
     one = prefix.select("lead", "token", "cls", "other", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n")])
     two = prefix.select("lead", "token", F.col("other").alias("cls"), F.col("cls").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "n")])
