@@ -52,7 +52,7 @@ def main() -> None:
     inputs = Inputs.of(spark, sf_dir)
     start = time.perf_counter()
     inputs.merged, inputs.train, inputs.offline_stats, inputs.online_stats
-    inputs.train_features, inputs.test_features, inputs.paired_table
+    inputs.train_features, inputs.test_features, inputs.paired_table, inputs.model_frames
     prepared = time.perf_counter() - start
 
     seconds: dict[str, float] = {}

@@ -17,7 +17,7 @@ from riskspark.plans.trees import Boosting, TreeModel, doubles, fit_trees, matri
 from riskspark.session import cut_lineage
 
 # Hyper-parameters of the three training set-ups.
-BALANCED = Boosting(rounds=1200, depth=6, rate=0.035)
+BALANCED = Boosting(rounds=1200, depth=6, rate=0.035, penalty=5.0)
 NUMERIC = Boosting(rounds=600, depth=5, rate=0.05)
 WEIGHTED = replace(BALANCED, rounds=1800)
 SEED = 42
