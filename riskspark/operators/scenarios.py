@@ -31,8 +31,8 @@ def burst_x3(df: DataFrame) -> DataFrame:
 
 
 SCENARIOS = {
-    "Base test set": lambda df: df,
-    "Stress: High amount x3": amount_x3,
-    "Stress: All transactions at night": all_at_night,
-    "Stress: High burstiness x3": burst_x3,
+    "unchanged": lambda df: df,
+    "amounts tripled": amount_x3,
+    "all at night": all_at_night,
+    "burstiness tripled": burst_x3,
 }

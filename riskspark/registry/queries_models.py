@@ -103,7 +103,6 @@ _CURVE = """cv AS (
   FROM pr GROUP BY model, y_proba WINDOW w AS (PARTITION BY model ORDER BY y_proba DESC), g AS (PARTITION BY model))"""
 _ROC = with_(TX, PRED, _CURVE) + f"SELECT model, {sig('y_proba')} AS thr, {sig('cn / n')} AS fpr, {sig('cp / p')} AS tpr FROM cv"
 _PRC = with_(TX, PRED, _CURVE) + f"SELECT model, {sig('y_proba')} AS thr, {sig('cp / (cp + cn)')} AS precision, {sig('cp / p')} AS recall FROM cv"
-ONE = "cb_balanced"
 
 
 @query("V6_roc_curve", _ROC)
@@ -224,14 +223,14 @@ def _(i):
     "T4_ensemble_scores",
     with_(TX, PRED)
     + f"""SELECT a.docno, 'ensemble' AS model, a.y_true, {sig('0.7 * a.y_proba + 0.3 * b.y_proba')} AS y_proba
-    FROM pr a JOIN pr b USING (docno) WHERE a.model = 'cb_balanced' AND b.model = 'xgb_numeric'""",
+    FROM pr a JOIN pr b USING (docno) WHERE a.model = 'balanced_trees' AND b.model = 'numeric_trees'""",
 )
 def _(i):
-    return decision.ensemble_scores(i.predictions, "cb_balanced", "xgb_numeric", "docno")
+    return decision.ensemble_scores(i.predictions, "balanced_trees", "numeric_trees", "docno")
 
 
-_ROLES = {"cb_balanced": "decision", "xgb_numeric": "shadow", "ensemble": "shadow"}
-_ROLE_SQL = "CASE model WHEN 'cb_balanced' THEN 'decision' ELSE 'shadow' END"
+_ROLES = {"balanced_trees": "decision", "numeric_trees": "shadow", "ensemble": "shadow"}
+_ROLE_SQL = "CASE model WHEN 'balanced_trees' THEN 'decision' ELSE 'shadow' END"
 
 
 @query("T6_model_roles", with_(TX, PRED) + f"SELECT docno, model, {sig('y_proba')} AS y_proba, {_ROLE_SQL} AS role FROM pr")
@@ -239,7 +238,7 @@ def _(i):
     return decision.with_roles(i.predictions, _ROLES).drop("y_true")
 
 
-@query("T6_decision_view", with_(TX, PRED) + f"SELECT docno, {sig('y_proba')} AS y_proba FROM pr WHERE model = 'cb_balanced'")
+@query("T6_decision_view", with_(TX, PRED) + f"SELECT docno, {sig('y_proba')} AS y_proba FROM pr WHERE model = 'balanced_trees'")
 def _(i):
     return decision.decision_scores(decision.with_roles(i.predictions, _ROLES)).select("docno", "y_proba")
 

@@ -12,7 +12,7 @@ from riskspark import schemas
 from riskspark.functions.hashing import hash_uniform
 
 EWM_DECAY = 0.7
-MODEL_SEEDS = {"cb_balanced": 11, "xgb_numeric": 22, "ensemble": 33}
+MODEL_SEEDS = {"balanced_trees": 11, "numeric_trees": 22, "ensemble": 33}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
