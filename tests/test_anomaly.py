@@ -1,3 +1,4 @@
+import glob
 import math
 
 import numpy as np
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import anomaly
 from riskspark.operators.knn import as_points, knn_join
+from riskspark.session import shared_dir
 
 PARTITIONED = {"broadcast_values": 0, "pivots": 6, "block_rows": 16}
 
@@ -144,3 +146,35 @@ def test_forest_draws_from_all_rows(spark):
 def test_numeric_columns_include_ids(spark):
     df = spark.createDataFrame([(1, 2, 0, "a", 0.5)], "cst_dim_id long, docno long, target int, kind string, x double")
     assert anomaly.anomaly_columns(df, "target") == ["cst_dim_id", "docno", "x"]
+
+
+@pytest.mark.parametrize("options", [{}, {"block_rows": 13}, {"broadcast_values": 0, "pivots": 9, "block_rows": 40}])
+def test_knn_far_from_the_origin_with_copies_and_categories(spark, options):
+    """Coordinates of very different sizes, for which a product of whole rows would lose the small ones."""
+    rng = np.random.default_rng(6)
+    rows = np.concatenate([rng.normal(size=(140, 4)) * [1, 1e-3, 1e4, 1] + [1e9, 0, 1e10, 5], np.full((20, 4), 3.0)])
+    kinds = rng.integers(0, 2, len(rows))
+    df = frame(spark, rows).withColumn("kind", F.element_at(F.array(*[F.lit(int(v)) for v in kinds]), (F.col("id") + 1).cast("int")))
+    points = as_points(df, "id", columns(rows), ["kind"], weight=F.col("id") % 3 + 1)
+    got = {}
+    for r in knn_join(points, points, 6, 0.5, **options).collect():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["base_id"], r["weight"]))
+    square = ((rows[:, None, :] - rows[None, :, :]) ** 2).sum(axis=2) + 0.25 * (kinds[:, None] != kinds[None, :])
+    for n in range(len(rows)):
+        found, total = [], 0
+        for i in np.lexsort((np.arange(len(rows)), square[n])):
+            if total >= 6:
+                break
+            found.append((int(i), int(i) % 3 + 1))
+            total += int(i) % 3 + 1
+        assert [(i, w) for _, i, w in sorted(got[n])] == found
+
+
+def test_knn_stores_each_query_row_once(spark):
+    """Where every cell may hold a neighbour, as in many dimensions, blocks come to groups of rows; rows are not copied for each cell."""
+    m = np.random.default_rng(7).normal(size=(200, 24))
+    points = as_points(frame(spark, m), "id", columns(m))
+    before = set(glob.glob(f"{shared_dir(spark)}/knn-query-*"))
+    assert knn_join(points, points, 5, broadcast_values=0, pivots=12, block_rows=64).count() == 1000
+    (stored,) = set(glob.glob(f"{shared_dir(spark)}/knn-query-*")) - before
+    assert spark.read.parquet(stored).count() == 200
