@@ -178,3 +178,12 @@ def test_knn_stores_each_query_row_once(spark):
     assert knn_join(points, points, 5, broadcast_values=0, pivots=12, block_rows=64).count() == 1000
     (stored,) = set(glob.glob(f"{shared_dir(spark)}/knn-query-*")) - before
     assert spark.read.parquet(stored).count() == 200
+
+
+def test_lof_of_train_rows_needs_one_search(spark, monkeypatch):
+    m = np.random.default_rng(8).normal(size=(60, 3))
+    a, calls = frame(spark, m), []
+    monkeypatch.setattr(anomaly, "knn_join", lambda *args, **kw: calls.append(1) or knn_join(*args, **kw))
+    (scored,) = anomaly.local_outlier_factor(a, [a], "id", columns(m), 10)
+    assert len(calls) == 1
+    assert [r["lof_score"] for r in scored.orderBy("id").collect()] == pytest.approx(numpy_lof(m, m, 10).tolist(), rel=1e-9)
