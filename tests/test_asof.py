@@ -90,3 +90,19 @@ def test_left_count_is_kept(spark, sf_dir):
     tx = fixtures.transactions(spark, sf_dir)
     assert fixtures.training_set(spark, sf_dir).count() == tx.count() == 202
     assert fixtures.behaviour(spark, sf_dir).agg(F.count("*")).first()[0] == 265
+
+
+def test_merged_set_reads_the_stored_snapshots(spark, tmp_path, monkeypatch):
+    """The snapshots are derived once in a session, not again for the merged set."""
+    from riskspark.registry.core import Inputs
+    from riskspark.sources import fixtures
+
+    rows = [(n, at(7 * n), n % 2, ("click", "view", "purchase")[n % 3], 10.0 + n, f'{{"k": {n}}}') for n in range(40)]
+    rows += [(100, None, 0, "purchase", 1.0, None), (101, at(50), None, "purchase", 2.0, "{}"), (102, at(60), 1, "purchase", 3.0, "{}"), (102, at(60), 1, "purchase", 3.0, "{}")]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    expected = sorted(map(str, fixtures.training_set(spark, str(tmp_path)).collect()))
+    calls, derive = [], fixtures.behaviour
+    monkeypatch.setattr(fixtures, "behaviour", lambda *a: calls.append(a) or derive(*a))
+    inputs = Inputs(spark, str(tmp_path))
+    assert inputs.behaviour.count() and sorted(map(str, inputs.merged.collect())) == expected
+    assert len(expected) == 17 and len(calls) == 1
