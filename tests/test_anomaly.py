@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskspark.operators import anomaly
+from riskspark.operators import anomaly, knn
 from riskspark.operators.knn import as_points, knn_join
 from riskspark.session import shared_dir
 
@@ -187,3 +187,32 @@ def test_lof_of_train_rows_needs_one_search(spark, monkeypatch):
     (scored,) = anomaly.local_outlier_factor(a, [a], "id", columns(m), 10)
     assert len(calls) == 1
     assert [r["lof_score"] for r in scored.orderBy("id").collect()] == pytest.approx(numpy_lof(m, m, 10).tolist(), rel=1e-9)
+
+
+def test_a_broadcast_base_is_searched_in_boxes(spark, monkeypatch):
+    """Parts hold all points once, no point is nearer than its box, and the join over many boxes equals brute force."""
+    rng = np.random.default_rng(9)
+    base, query = rng.normal(size=(300, 4)) * [1, 30, 1e-3, 5], rng.normal(size=(40, 4)) * [2, 50, 1, 5]
+    parts = knn._near_parts(base, 16)
+    assert sorted(np.concatenate(parts)) == list(range(300)) and max(map(len, parts)) <= 16
+    away = knn._box_distances(query, np.array([base[p].min(axis=0) for p in parts]), np.array([base[p].max(axis=0) for p in parts]))
+    dist, order = brute(query, base, 7)
+    assert all((away[:, i] <= dist[:, p].min(axis=1)).all() for i, p in enumerate(parts))
+    monkeypatch.setattr(knn, "BOX_ROWS", 16)
+    got = {}
+    for r in knn_join(as_points(frame(spark, query), "id", columns(query)), as_points(frame(spark, base), "id", columns(base)), 7).collect():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["base_id"]))
+    assert [[i for _, i in sorted(got[n])] for n in range(len(query))] == order.tolist()
+
+
+def test_fitted_anomaly_models_score_any_number_of_frames(spark, monkeypatch):
+    m = np.random.default_rng(10).normal(size=(60, 3))
+    train, more, calls = frame(spark, m).withColumn("target", F.lit(0)), frame(spark, m[:9] + 0.1, 100).withColumn("target", F.lit(0)), []
+    both = anomaly.add_anomaly_features(train, more, "id", n_trees=20, neighbours=10)[1].select("id", "iforest_score", "lof_score")
+    expected = {tuple(r) for r in both.collect()}
+    monkeypatch.setattr(anomaly, "knn_join", lambda *args, **kw: calls.append(1) or knn_join(*args, **kw))
+    models, _ = anomaly.fit_anomaly_models(train, "id", n_trees=20, neighbours=10)
+    assert len(calls) == 1
+    for _ in range(2):
+        assert {tuple(r) for r in models.score(more, "id").select("id", "iforest_score", "lof_score").collect()} == expected
+    assert len(calls) == 3

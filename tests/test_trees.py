@@ -82,6 +82,21 @@ def test_margins_are_carried(spark, monkeypatch):
     assert again.margin(x) == pytest.approx(whole.margin(x)) and len(np.unique(whole.margin(x))) > 5
 
 
+def test_rows_of_several_tasks_and_blocks_make_the_same_trees(spark, monkeypatch):
+    x, y = numbers(400, 4)
+    df, names = frame(spark, x, y)
+    setup = Boosting(rounds=3, depth=3, rate=0.3, row_share=1.1, feature_share=1.0)
+    whole = trees.fit_trees(df, names, "target", "w", "held", setup)[0]
+    monkeypatch.setattr(trees, "LEAST_ROWS", 90)
+    monkeypatch.setattr(trees, "CARRY", 1)
+    made = []
+    monkeypatch.setattr(trees, "drop_path", lambda spark, path: made.append(spark.read.parquet(path).count()))
+    parts, _, _ = trees.fit_trees(df, names, "target", "w", "held", setup)
+    assert len(made) == 4 and min(made) >= 4  # blocks of four tasks or more
+    assert parts.margin(x) == pytest.approx(whole.margin(x))
+    assert (parts.feature == whole.feature).all()
+
+
 def test_boosting_ends_when_watched_rows_gain_nothing(spark):
     x, y = numbers(600, 2)
     watched = np.arange(600) % 4 == 0
