@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.text import ascii_lower, bounded_batches
+from riskspark.llm.text import ascii_lower, begin_task, bounded_batches
 from riskspark.session import cut_lineage
 
 #: The directory has at most 2^MAX_DEPTH entries, whatever the input; its histogram is all the driver sees.
@@ -44,6 +44,7 @@ def directory(histogram: dict[int, int], capacity: int, max_depth: int = MAX_DEP
 
 def _combine(batches):
     """Map side: equal texts of an Arrow batch become one entry with the list of their ids."""
+    begin_task()
     for batch in batches:
         groups = pa.Table.from_batches([batch]).group_by(["bucket", "h", "norm"]).aggregate([("id", "list"), ("text_sha256", "min")])
         columns = [groups.column(n) for n in ("bucket", "h", "norm", "id_list", "text_sha256_min")]
@@ -52,6 +53,7 @@ def _combine(batches):
 
 def _chain(batches):
     """Owner task: rows come by hash; texts of one hash form a chain, and a row gets the place of its equal bytes."""
+    begin_task()
     hash_now, chain, entry = None, [], TaskContext.get().partitionId() << 36
     for batch in batches:
         places, entries = [], np.arange(entry, entry + batch.num_rows)

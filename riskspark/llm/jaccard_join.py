@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.components import connected_components
 from riskspark.llm.differences import LEADER_ROUNDS, open_pairs, size_class
-from riskspark.llm.text import id_and_text, space_words
+from riskspark.llm.text import begin_task, id_and_text, space_words
 from riskspark.session import cut_lineage
 
 #: The share of all hash values that the counted part of a document's tokens lies in.
@@ -115,6 +115,7 @@ def _per_text(n: int, make):
     memo: dict[bytes, int] = {}
 
     def run(batches):
+        begin_task()
         for batch in batches:
             for block in blocks(batch):
                 yield make(block.column(0), [shingle_set(t, n, memo) for t in block.column(1).to_pylist()])
@@ -208,6 +209,7 @@ def _leading_sets(n: int):
     memo: dict[bytes, int] = {}
 
     def run(batches):
+        begin_task()
         for batch in batches:
             for block in blocks(batch):
                 sets = [shingle_set(t, n, memo) for t in block.column(1).to_pylist()]

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.text import bounded_batches, id_and_text
+from riskspark.llm.text import begin_task, bounded_batches, id_and_text
 from riskspark.session import cut_lineage
 
 UNKNOWN = "und"
@@ -171,6 +171,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     sample = rows.where(order <= F.element_at(limit, F.col("lang"))).select("lang", "text")
 
     def counted(batches):
+        begin_task()
         for batch in batches:
             words: Counter = Counter()
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -230,6 +231,7 @@ def in_known_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     held, text_at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def kept(batches):
+        begin_task()
         predictor = Predictor(held.value)
         for batch in batches:
             known = [lang != UNKNOWN for block in _blocks(batch.column(text_at).to_pylist()) for lang, _ in predictor.predict(block)]

@@ -9,7 +9,7 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.text import SPACE, id_and_text, row_key
+from riskspark.llm.text import SPACE, id_and_text, keep_in_worker, row_key
 from riskspark.session import cut_lineage
 
 #: A worker's memo of pieces between ASCII white space, per tokenizer file.
@@ -51,6 +51,7 @@ class Encoder:
     def of(cls, path: str) -> "Encoder":
         if path not in cls._held:
             cls._held[path] = cls(path)
+        keep_in_worker("tokens", cls._held.clear)
         return cls._held[path]
 
     def _ids(self, text: str) -> list[int]:

@@ -1,11 +1,15 @@
 """The stages against plain Python on their own inputs."""
 
 import pyarrow.parquet as pq
+import pytest
 from test_operators import SF, VOCABULARY, brute_components, brute_windows, lower
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from riskspark.llm.exact_dedup import _chain, _combine
+from riskspark.llm.jaccard_join import _per_text
 from riskspark.llm.text import letter_words
+from riskspark.llm.tokens import Encoder
 
 
 def test_stages(spark):
@@ -47,3 +51,17 @@ def test_stages_on_edge_cases(spark):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.cut_lineage(stage(spark, docs, SF), "edge-stage")
         assert docs.select("doc_id").distinct().count() == (2 if docs.count() else 0)
+
+
+def test_a_tokenizer_leaves_the_worker_when_another_operator_begins():
+    for task in (_combine, _chain, _per_text(5, lambda ids, sets: None)):
+        assert Encoder.of(VOCABULARY).count("some words") > 1 and Encoder._held
+        list(task(iter(())) if task is not _chain else _begun(task))
+        assert not Encoder._held
+    assert Encoder.of(VOCABULARY).count("some words") > 1
+
+
+def _begun(task):
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr("riskspark.llm.exact_dedup.TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": lambda self: 0})())}))
+        return list(task(iter(())))
