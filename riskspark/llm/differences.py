@@ -6,7 +6,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.session import cut_lineage
 
@@ -18,19 +18,56 @@ FEW = 16
 
 
 def _from_leader(kind: str):
-    """mapInArrow function over (id, lead, tokens, lead_tokens): what is in only one of a set and its leader."""
+    """mapInArrow function over (id, lead, tokens, lead_tokens): places of the leader's tokens that a set lacks, and what only the set has."""
 
     def run(batches):
         for batch in batches:
             out = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 a, b = (np.frombuffer(v.as_buffer(), np.int64).view(np.uint64) for v in (x, y))
-                out.append((len(a), len(b), np.setxor1d(a, b, assume_unique=True).view(np.int64)))
+                lacks = np.flatnonzero(~np.isin(b, a, assume_unique=True)).astype(np.int32)
+                out.append((len(a), len(b), lacks, np.setdiff1d(a, b, assume_unique=True).view(np.int64)))
             columns = [batch.column(0), batch.column(1), pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())]
-            columns.append(pa.array([o[2] for o in out], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "lead", "n", "m", "diff"])
+            columns += [pa.array([o[2] for o in out], pa.list_(pa.int32())), pa.array([o[3] for o in out], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "lead", "n", "m", "lacks", "own"])
 
-    return run, f"id {kind}, lead {kind}, n long, m long, diff array<long>"
+    return run, f"id {kind}, lead {kind}, n long, m long, lacks array<int>, own array<long>"
+
+
+def _list(cell: pa.ListScalar) -> np.ndarray:
+    return cell.values.to_numpy(zero_copy_only=False) if cell.is_valid else np.empty(0, np.int64)
+
+
+def _prefixes(kind: str):
+    """mapInArrow function over (id, lead, label, n, cls, e, nd, lacks, own, own_times, place, times, other, length): what is indexed of a set.
+
+    ``own`` are the set's own tokens that others of the leader have too, ``lacks`` the places of the leader's tokens that it lacks, ``times``
+    how many lack the token at ``place``. A place stands for its token: for all sets of a leader a token is of the same kind.
+    ``reach`` tells how much of the difference is left from the token on, itself included.
+    """
+    names = ["id", "lead", "label", "n", "cls", "e", "token", "other", "reach"]
+
+    def run(batches):
+        for batch in batches:
+            rows, tokens, others, reaches = [], [], [], []
+            for row, (nd, *lists) in enumerate(zip(batch.column(6).to_pylist(), *batch.columns[7:])):
+                lacks, own, own_times, place, times, other, length = map(_list, lists)
+                order = np.argsort(place)
+                lacked = times[order][np.searchsorted(place, lacks, sorter=order)] if len(lacks) else np.empty(0, np.int64)
+                token, often = np.concatenate([own, lacks[lacked > 1].astype(np.int64)]), np.concatenate([own_times, lacked[lacked > 1]])
+                token, rest = token[np.lexsort((token, often))], nd - len(token)
+                # What no other set has stands first and is not indexed.
+                for which, long in zip(other, np.clip(length - rest, 0, len(token))):
+                    if long:
+                        rows.append(np.full(long, row))
+                        tokens.append(token[:long])
+                        others.append(np.full(long, which, np.int32))
+                        reaches.append(nd - rest - np.arange(long))
+            flat = lambda parts, kind: pa.array(np.concatenate(parts) if parts else [], kind)
+            taken = [c.take(flat(rows, pa.int64())) for c in batch.columns[:6]]
+            yield pa.RecordBatch.from_arrays([*taken, flat(tokens, pa.int64()), flat(others, pa.int32()), flat(reaches, pa.int64())], names=names)
+
+    return run, f"id {kind}, lead {kind}, label {kind}, n long, cls int, e long, token long, other int, reach long"
 
 
 def difference_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -44,6 +81,10 @@ def difference_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple
     leader has an e above |leader| (1 - t) / (1 + t), one that links has one above minus that, so that the bound is positive for
     all pairs but those of two that link. So a prefix of D in order of rarity finds the pairs; its length follows from
     e and the least e of a partner's class. What no other set has in its difference stands first and is never indexed.
+    The first token that a pair has in common leaves room for the overlap that both their e ask for; other meetings are none.
+
+    Most of what differences share are tokens that the leader has and the sets lack. How many lack each comes with the leader, in
+    one row of at most its own size, so that only tokens that the leader lacks are counted and joined one by one.
     """
     kind = sets.schema["id"].dataType.simpleString()
     side = lambda name, tokens: sets.select(F.col("id").alias(name), F.col("tokens").alias(tokens))
@@ -52,13 +93,14 @@ def difference_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple
     found = cut_lineage(both.mapInArrow(run, schema), "differences")
     labels = members.select("id", "lead", "label")
 
-    excess = F.size("diff").cast("long") * (100 + percent) - (100 - percent) * F.col("n")
+    size = (F.size("lacks") + F.size("own")).cast("long")
+    excess = size * (100 + percent) - (100 - percent) * F.col("n")
     allowed = (100 - percent) * F.col("m")
     unit = F.greatest(allowed, F.lit(1))
     near = F.floor(CLASSES * excess / unit)
     far = 2 * _LINKED_BELOW + F.floor(CLASSES * F.log2(F.greatest(excess, F.lit(1)) / unit))
     facts = found.join(labels, ["id", "lead"]).select(
-        "id", "lead", "label", "n", F.size("diff").cast("long").alias("nd"), excess.alias("e"), F.when(excess <= allowed, near).otherwise(far).cast("int").alias("cls")
+        "id", "lead", "label", "n", size.alias("nd"), excess.alias("e"), F.when(excess <= allowed, near).otherwise(far).cast("int").alias("cls")
     )
     facts = cut_lineage(facts, "difference-facts")
     links = facts.where(F.col("cls") < _LINKED_BELOW).select(F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b"))
@@ -79,25 +121,27 @@ def difference_pairs(members: DataFrame, sets: DataFrame, percent: int) -> tuple
         return F.struct(p["other"].alias("other"), (F.col("nd") - overlap + 1).alias("prefix"))
 
     asked = F.filter(F.transform(F.filter("partners", possible), prefix_of), lambda p: p["prefix"] > 0)
-    wanted = facts.join(partners, "lead").select("id", "lead", "label", "n", "nd", "cls", asked.alias("asked")).where(F.size("asked") > 0)
+    wanted = facts.join(partners, "lead").select("id", "lead", "label", "n", "cls", "e", "nd", asked.alias("asked")).where(F.size("asked") > 0)
     wanted = cut_lineage(wanted, "difference-wanted")
 
     # Only sets that have a partner class are looked at further.
-    active = wanted.select("id", "lead")
-    tokens = found.join(active, ["id", "lead"]).select("id", "lead", F.explode("diff").alias("token"))
-    tokens = cut_lineage(tokens, "difference-tokens")
+    active = found.join(wanted.select("id", "lead"), ["id", "lead"])
+    lacking = active.select("lead", F.explode("lacks").alias("place")).groupBy("lead", "place").agg(F.count("*").alias("times"))
+    lacking = cut_lineage(lacking.groupBy("lead").agg(F.collect_list(F.struct("place", "times")).alias("lacking")), "difference-lacking")
+    tokens = cut_lineage(active.select("id", "lead", F.explode("own").alias("token")), "difference-tokens")
     shared = tokens.groupBy("lead", "token").agg(F.count("*").alias("times")).where("times > 1")
-    ranked = tokens.join(shared, ["lead", "token"])
-    own = Window.partitionBy("lead", "id")
-    ranked = ranked.select("id", "lead", "token", F.row_number().over(own.orderBy("times", "token")).alias("at"), F.count("*").over(own).alias("shared"))
-    placed = ranked.join(wanted, ["id", "lead"]).withColumn("at", F.col("nd") - F.col("shared") + F.col("at"))
-    inside = F.filter("asked", lambda p: p["prefix"] >= F.col("at"))
-    prefix = placed.select("id", "lead", "token", "label", "n", "cls", F.explode(F.transform(inside, lambda p: p["other"])).alias("other"))
-    prefix = cut_lineage(prefix, "difference-prefixes")
-
-    one = prefix.select("lead", "token", "cls", "other", *[F.col(c).alias(f"{c}_a") for c in ("id", "label", "n")])
-    two = prefix.select("lead", "token", F.col("other").alias("cls"), F.col("cls").alias("other"), *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "n")])
+    own = tokens.join(shared, ["lead", "token"]).groupBy("id", "lead").agg(F.collect_list(F.struct("token", "times")).alias("own"))
+    placed = wanted.join(found.select("id", "lead", "lacks"), ["id", "lead"]).join(own, ["id", "lead"], "left").join(lacking, "lead", "left")
+    lists = [F.col(c).alias(c.replace(".", "_")) for c in ("own.token", "own.times", "lacking.place", "lacking.times", "asked.other", "asked.prefix")]
+    placed = placed.select("id", "lead", "label", "n", "cls", "e", "nd", "lacks", *lists)
+    run, schema = _prefixes(kind)
+    prefix = cut_lineage(placed.mapInArrow(run, schema), "difference-prefixes")
+
+    sides = ("id", "label", "n", "e", "reach")
+    one = prefix.select("lead", "token", "cls", "other", *[F.col(c).alias(f"{c}_a") for c in sides])
+    two = prefix.select("lead", "token", F.col("other").alias("cls"), F.col("cls").alias("other"), *[F.col(c).alias(f"{c}_b") for c in sides])
     fits = (F.col("n_a") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n_a") * percent)
+    fits &= F.col("e_a") + F.col("e_b") <= 2 * (100 + percent) * F.least("reach_a", "reach_b")
     pairs = one.join(two, ["lead", "token", "cls", "other"]).where((F.col("id_a") < F.col("id_b")) & (F.col("label_a") != F.col("label_b")) & fits)
     return links, pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
 

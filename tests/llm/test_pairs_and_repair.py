@@ -232,6 +232,22 @@ def test_differences_leave_few_pairs(spark, tmp_path):
     assert len(found) < 0.1 * len(sets) * (len(sets) - 1) / 2
 
 
+def test_differences_join_only_tokens_that_the_leader_lacks(spark, monkeypatch):
+    """What the leader has and sets lack is counted in one row of the leader, however many sets lack it."""
+    from riskspark.llm import differences
+
+    texts = changed_copies(200, [12, 14], 3, False)
+    sets = {i: jaccard_join.shingle_set(t, 4, {}) for i, t in texts.items()}
+    table = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in sets.items()], "id long, tokens binary")
+    members = spark.createDataFrame([(i, 0, i) for i in sets], "id long, lead long, label long")
+    stored, store = {}, differences.cut_lineage
+    monkeypatch.setattr(differences, "cut_lineage", lambda df, name: stored.setdefault(name, store(df, name)))
+    differences.difference_pairs(members, table, 80)[1].collect()
+    own = {i: len(np.setdiff1d(s, sets[0])) for i, s in sets.items()}
+    assert 0 < stored["difference-tokens"].count() <= sum(own.values())
+    assert stored["difference-lacking"].count() == 1
+
+
 def test_odd_sketch_edges(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b c d e f"), (None, "x y"), (None, None), (3, None), (4, ""), (5, "long words " * 40_000), (6, " ")]
     rows += [(7, "one two three four five six"), (7, "p q r s t u v"), (8, "P q r s t u v"), (9, "one two three four five six")]
