@@ -6,6 +6,9 @@ documents.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskspark.llm.decontaminate import decontaminate
@@ -14,7 +17,7 @@ from riskspark.llm.jaccard_join import near_duplicates
 from riskspark.llm.language_id import fit, in_known_language
 from riskspark.llm.packing import pack
 from riskspark.llm.queries import held_out, table, vocabulary_path
-from riskspark.llm.text import ascii_lower, row_key
+from riskspark.llm.text import BATCH_BYTES, ascii_lower, row_key
 from riskspark.session import cut_lineage
 
 def _fresh(docs: DataFrame, name: str) -> str:
@@ -82,9 +85,32 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: Bytes of an Arrow batch of the pipeline: what its stages leave in the JVM and the workers adds up, and a task holds several batches.
+PIPELINE_BATCH_BYTES = 4 << 20
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of PIPELINE_BATCH_BYTES within; a user's own setting stands, and afterwards all is as before."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.getAll.get(name)
+    if before not in (None, str(BATCH_BYTES)):
+        yield
+        return
+    spark.conf.set(name, str(PIPELINE_BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table of documents; each result is stored in the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with _small_batches(spark):
+        for name, stage in STAGES:
+            docs = cut_lineage(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

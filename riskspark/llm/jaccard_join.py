@@ -22,7 +22,7 @@ MOST_FREQUENT = 1 << 20
 #: Words of a fixed table of bits that tells which ids may be wanted; false alarms only cost work.
 FILTER_WORDS = 1 << 16
 #: Words of which a task remembers the hashes, and bytes of text whose sets are held at once.
-MEMO_WORDS, BLOCK_BYTES = 200_000, 4 << 20
+MEMO_WORDS, BLOCK_BYTES = 200_000, 2 << 20
 _A, _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 

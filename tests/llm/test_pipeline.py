@@ -65,3 +65,23 @@ def _begun(task):
     with pytest.MonkeyPatch.context() as patched:
         patched.setattr("riskspark.llm.exact_dedup.TaskContext", type("Task", (), {"get": staticmethod(lambda: type("One", (), {"partitionId": lambda self: 0})())}))
         return list(task(iter(())))
+
+
+def test_pipeline_stages_take_small_batches(spark, sf_dir, monkeypatch):
+    """Every stage runs with small Arrow batches; a user's own setting stands, and the session's is as before in the end."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+
+    def stage(session, docs, where):
+        seen.append(session.conf.get(name))
+        return docs.limit(3)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", stage), ("two", stage)])
+    before = spark.conf.getAll.get(name)
+    try:
+        for own, within in ((None, "4194304"), ("16777216", "4194304"), ("1000000", "1000000")):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            seen.clear()
+            assert corpus_pipeline.run(spark, sf_dir).count() == 3
+            assert seen == [within, within] and spark.conf.getAll.get(name) == own
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
