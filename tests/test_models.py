@@ -25,6 +25,20 @@ def test_models_beat_chance(spark, inputs):
         assert auc > 0.6
 
 
+def test_registered_models_are_trained_in_full(spark, monkeypatch):
+    class Own:
+        frame = spark.createDataFrame([(1, 0, 1.0, "a"), (2, 1, 2.0, "b")], "docno long, target int, amount double, direction string")
+        model_frames = frame, frame
+
+        def _once(self, name, make):
+            return make()
+
+    monkeypatch.setattr(training, "_fit", lambda *a: a[-1])
+    stored = {"balanced": training.BALANCED, "numeric": training.NUMERIC, "weighted": training.WEIGHTED}
+    assert [s.rounds for s in stored.values()] == [1200, 600, 1800]
+    assert {n: registered.model(Own(), n) for n in stored} == stored
+
+
 def test_validation_rows_come_from_train(inputs):
     assert inputs.train.join(inputs.test, "docno").count() == 0
 

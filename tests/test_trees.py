@@ -97,6 +97,23 @@ def test_rows_of_several_tasks_and_blocks_make_the_same_trees(spark, monkeypatch
     assert (parts.feature == whole.feature).all()
 
 
+def test_few_rows_are_trained_on_in_one_task_with_the_same_trees(spark, monkeypatch):
+    x, y = numbers(600, 8)
+    df, names = frame(spark, x, y, np.arange(600) % 4 == 0)
+    df = df.coalesce(1)  # row ids, which choose the rows of a round, are the same both times
+    setup = Boosting(rounds=6, depth=3, rate=0.3, patience=3)
+    jobs = []
+    level = trees._Training.level
+    monkeypatch.setattr(trees._Training, "level", lambda self, *a: jobs.append(a[0]) or level(self, *a))
+    alone, base, losses = trees.fit_trees(df, names, "target", "w", "held", setup)
+    assert jobs == []
+    monkeypatch.setattr(trees, "LEAST_ROWS", 100)
+    monkeypatch.setattr(trees, "CARRY", 4)
+    many, same, parts = trees.fit_trees(df, names, "target", "w", "held", setup)
+    assert len(jobs) > len(many) and len(alone) == len(many) > 0 and base == same
+    assert losses == pytest.approx(parts) and many.margin(x) == pytest.approx(alone.margin(x))
+
+
 def test_boosting_ends_when_watched_rows_gain_nothing(spark):
     x, y = numbers(600, 2)
     watched = np.arange(600) % 4 == 0
