@@ -180,6 +180,34 @@ def test_knn_stores_each_query_row_once(spark):
     assert spark.read.parquet(stored).count() == 200
 
 
+def test_blocks_of_a_larger_base_stay_small_and_few_come_to_a_group(spark, monkeypatch):
+    """Cells follow the base's size, whatever its widest column looks like; a group gets the blocks that can hold a neighbour only."""
+    monkeypatch.setattr(knn, "CELL_ROWS", 4)
+    rng = np.random.default_rng(11)
+    m = np.stack([rng.pareto(0.5, 4000) * 1e6, rng.normal(size=4000) * 1e3, np.arange(4000.0)], axis=1)
+    points = as_points(frame(spark, m), "id", columns(m))
+    before = set(glob.glob(f"{shared_dir(spark)}/knn-*"))
+    got = {}
+    for r in knn_join(points, points, 3, broadcast_values=0).collect():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["base_id"]))
+    _, order = brute(m, m, 3)
+    assert [[i for _, i in sorted(got[n])] for n in range(4000)] == order.tolist()
+    stored = {p.split("knn-")[1].split("-")[0]: spark.read.parquet(p) for p in set(glob.glob(f"{shared_dir(spark)}/knn-*")) - before}
+    blocks, visits = stored["blocks"], stored["visits"]
+    assert blocks.count() > 512 and blocks.agg(F.max(F.length("ids") / 8)).first()[0] < 100
+    assert blocks.count() * visits.agg(F.countDistinct("grp")).first()[0] > 4 * visits.count()
+
+
+def test_cells_hold_any_points():
+    rng = np.random.default_rng(12)
+    odd = np.array([[np.inf, 1.0], [-np.inf, 2.0], [np.nan, np.nan], [1e300, -1e300]])
+    for points in (np.empty((0, 0)), np.zeros((50, 2)), odd, np.concatenate([odd, rng.normal(size=(60, 2))]), np.repeat(rng.normal(size=(5, 2)), 20, axis=0)):
+        tree = knn._Cells.of(points, 8)
+        cells = tree.find(points)
+        assert len(cells) == len(points) and set(cells) <= set(range((tree.feature < 0).sum()))
+    assert len(set(cells)) == 5  # equal points are in one cell
+
+
 def test_lof_of_train_rows_needs_one_search(spark, monkeypatch):
     m = np.random.default_rng(8).normal(size=(60, 3))
     a, calls = frame(spark, m), []
